@@ -32,8 +32,9 @@ def fit_vocabulary(df: DataFrame, column: str, limit: int = MAX_VOCABULARY) -> l
 
 def fit_list_vocabulary(df: DataFrame, column: str, limit: int = MAX_VOCABULARY) -> list[str]:
     """Distinct items (original spelling) of a list-text column."""
-    items = F.explode(F.split(F.regexp_replace(column, r"\band\b", ","), ","))
-    values = df.select(F.trim(items).alias(column)).where(F.col(column) != "").distinct()
+    parts = F.split(F.regexp_replace(column, r"\band\b", ","), ",")
+    items = F.explode(F.transform(parts, lambda x: F.trim(x)))
+    values = df.select(items.alias(column)).where(F.col(column) != "").distinct()
     return _bounded(values, limit, column)
 
 
