@@ -10,6 +10,8 @@ in :mod:`checks.oracles`. Every rule covers the whole table.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,38 +173,46 @@ def _select(df: DataFrame, rules: dict[str, str], *keep: str) -> DataFrame:
 
 
 class Testbed:
-    """The derived tables over one driver data folder (all lazy)."""
+    """The derived tables over one driver data folder (all lazy, built once)."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    @cache
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # raw sources ------------------------------------------------------------
+    @cache
     def _orders(self) -> DataFrame:
         return _select(self.table("orders"), ORDER_RULES)
 
+    @cache
     def _first_month(self) -> DataFrame:
         return self._orders().groupBy("c").agg(
             F.min("start").alias("snap"), F.count(F.lit(1)).alias("n"), F.sum("loan_c").alias("s")
         )
 
+    @cache
     def _people(self) -> DataFrame:
         return _select(self.table("customer"), PERSON_RULES).join(self._first_month(), "c")
 
+    @cache
     def raw_ledger(self) -> DataFrame:
         loans = _select(self._orders(), RISK_RULES, "*")
         months = loans.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(10))))
         months = _select(_select(months, MONTH_RULES, "*"), AMOUNT_RULES, "*")
         return _select(months.withColumn("snap", F.add_months("start", F.col("i"))), LEDGER_TEXT)
 
+    @cache
     def raw_attributes(self) -> DataFrame:
         return _select(self._people(), ATTRIBUTE_TEXT)
 
+    @cache
     def raw_financials(self) -> DataFrame:
         return _select(self._people(), FINANCIAL_TEXT)
 
+    @cache
     def raw_clickstream(self) -> DataFrame:
         cents = F.round(F.col("value") * 100).cast("bigint")
         events = self.table("events").select(
@@ -217,27 +227,35 @@ class Testbed:
         return _select(dated.withColumn("snap", F.add_months("snap", F.col("m") - 4)), CLICK_TEXT)
 
     # silver and gold ------------------------------------------------------------
+    @cache
     def ledger(self) -> DataFrame:
         return silver.silver_ledger(self.raw_ledger())
 
+    @cache
     def attributes(self) -> DataFrame:
         return silver.silver_attributes(self.raw_attributes())
 
+    @cache
     def financials(self) -> DataFrame:
         return silver.silver_financials(self.raw_financials())
 
+    @cache
     def clickstream(self) -> DataFrame:
         return silver.silver_clickstream(self.raw_clickstream())
 
+    @cache
     def labels(self) -> DataFrame:
         return build_labels(self.ledger())
 
+    @cache
     def features(self) -> DataFrame:
         return feature_store(self.attributes(), self.financials(), self.clickstream(), "left")
 
+    @cache
     def training(self) -> DataFrame:
         return label_join(self.features(), self.labels(), direction="back")
 
+    @cache
     def detail_training(self) -> DataFrame:
         """Cleaned numbers with the raw text categories and the label."""
         raw = self.raw_financials()
@@ -249,6 +267,7 @@ class Testbed:
         })
         return label_join(typed, self.labels(), direction="back")
 
+    @cache
     def attribute_training(self) -> DataFrame:
         raw = self.raw_attributes().withColumns({
             "snapshot_date": F.to_date("snapshot_date"),
@@ -257,6 +276,7 @@ class Testbed:
         return label_join(raw, self.labels(), direction="back")
 
     # scores -------------------------------------------------------------------------
+    @cache
     def predictions(self) -> DataFrame:
         people = self._people()
         parts = [
@@ -268,6 +288,7 @@ class Testbed:
         ]
         return parts[0].unionByName(parts[1])
 
+    @cache
     def scored(self) -> DataFrame:
         """Predictions with matured label and a fixed split by customer."""
         labels = self.labels().select(
