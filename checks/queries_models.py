@@ -28,12 +28,12 @@ REF_RANGE = (WINDOWS.train_start, date(1995, 10, 1))
 
 def reference(t):
     """Feature rows of the training window."""
-    return projection.between_dates(t.features(), *REF_RANGE)
+    return projection.between_dates(t.stored("features"), *REF_RANGE)
 
 
 def current(t):
     """Feature rows of the monitored months."""
-    return projection.between_dates(t.features(), O.RUN_START, O.RUN_END)
+    return projection.between_dates(t.stored("features"), O.RUN_START, O.RUN_END)
 
 
 # --- encoding -------------------------------------------------------------------------
@@ -123,10 +123,10 @@ query("presence_flags", "Customer_ID:s has_credit_mix:i", (
 # --- profiling --------------------------------------------------------------------------------
 _profiled = list(FEATURE_KINDS)
 _null_sql = " UNION ALL ".join(
-    f"SELECT '{c}' AS column, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0 END) AS null_share FROM features" for c in _profiled
+    f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0 END) AS null_share FROM features" for c in _profiled
 )
 query("null_profile", "column:s null_share:f", _null_sql)(lambda t: profile.null_profile(t.features(), _profiled))
-query("worst_nulls", "column:s null_share:f", f"SELECT * FROM ({_null_sql}) ORDER BY null_share DESC, column LIMIT 15")(
+query("worst_nulls", "column:s null_share:f", f"SELECT * FROM ({_null_sql}) ORDER BY null_share DESC, 1 LIMIT 15")(
     lambda t: profile.worst_null_columns(t.features(), 15, _profiled))
 query("null_counts", "_rows:i _null_rows:i Age:i Occupation:i", (
     "SELECT count(*) AS _rows, count(*) FILTER (WHERE Age IS NULL OR Occupation IS NULL OR Age_group IS NULL) AS _null_rows, "
@@ -222,7 +222,7 @@ query("repeated_ssn", "Customer_ID:s SSN:s", (
     "SELECT Customer_ID, SSN FROM att_raw QUALIFY row_number() OVER (PARTITION BY SSN ORDER BY Customer_ID) > 1"
 ))(lambda t: profile.repeated_rows(t.raw_attributes(), "SSN", "Customer_ID"))
 query("numeric_summary", "column:s count:i mean:f std:f min:f max:f", " UNION ALL ".join(
-    f"SELECT '{c}' AS column, count({c}) AS count, avg({c}) AS mean, stddev({c}) AS std, min({c}) AS min, max({c}) AS max FROM fin"
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev({c}) AS std, min({c}) AS min, max({c}) AS max FROM fin"
     for c in FIN_NUMERIC
 ))(lambda t: profile.numeric_summary(t.financials(), FIN_NUMERIC))
 _probs = [0.0, 0.1, 0.5, 0.9, 0.97, 0.99, 1.0]
@@ -325,12 +325,11 @@ SMALL_GRIDS = {
     "logistic_regression": [{"C": 0.1}, {"C": 1.0}],
     "boosted_trees": [{"trees": 5, "depth": 3, "rate": 0.1}],
 }
-MODEL_FEATURES = ["Age", "Annual_Income", "Outstanding", "Credit_Mix_Label", "Num_of_Loan", "debt_to_income"]
 
 
 def fitted(t, family: str):
     """Model of one family on the training windows, plus the tagged rows."""
-    table = t.training().select(
+    table = t.stored("training").select(
         *S.ID_COLS, "label", "label_def", "Age", "Occupation", "Age_group", "Annual_Income", "Credit_Mix_Label",
         "Num_of_Loan", "Credit_History_Months", "debt_to_income", "fe_1",
     )
@@ -372,11 +371,15 @@ def _(t):
 
 # --- drift and monitoring ------------------------------------------------------------------------
 def prediction_runs(t):
-    return projection.between_dates(t.predictions(), O.RUN_START, O.RUN_END)
+    return projection.between_dates(t.stored("predictions"), O.RUN_START, O.RUN_END)
+
+
+def reference_scores(t):
+    return projection.between_dates(t.stored("predictions"), *REF_RANGE)
 
 
 query("psi_scores", "model_version:s snapshot_date:d psi_score:f", "SELECT * FROM psi")(
-    lambda t: drift.prediction_psi(projection.between_dates(t.predictions(), *REF_RANGE), prediction_runs(t)))
+    lambda t: drift.prediction_psi(reference_scores(t), prediction_runs(t)))
 query("csi_features", "feature:s snapshot_date:d csi:f", "SELECT * FROM csi")(
     lambda t: drift.feature_csi(reference(t), current(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES))
 query("csi_summary", "snapshot_date:d max_csi:f mean_csi:f", "SELECT * FROM csi_sum")(
@@ -413,7 +416,7 @@ def monitoring(t):
     return monitor.monitoring_rows(
         scoring=modelling.scoring_metadata(prediction_runs(t)),
         missing=profile.missing_by_group(current(t), S.FEATURE_SOURCES, ["snapshot_date"]),
-        psi=drift.prediction_psi(projection.between_dates(t.predictions(), *REF_RANGE), prediction_runs(t)),
+        psi=drift.prediction_psi(reference_scores(t), prediction_runs(t)),
         csi=drift.csi_summary(drift.feature_csi(reference(t), current(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES)),
         pvalues=drift.min_pvalue([
             drift.ks_numeric(reference(t), current(t), O.DRIFT_NUMERIC),

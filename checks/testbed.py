@@ -19,6 +19,7 @@ from creditspine import schemas as S
 from creditspine.operators.joins import feature_store, label_join
 from creditspine.operators.ledger import build_labels
 from creditspine.plans import silver
+from creditspine.sources.session import cut_lineage
 
 TRAIN_DATE = "1996-01-01"
 TRAIN_MONTHS = 10
@@ -275,6 +276,11 @@ class Testbed:
         })
         return label_join(raw, self.labels(), direction="back")
 
+    @cache
+    def stored(self, name: str) -> DataFrame:
+        """A derived table written out once, as the jobs read stored tables."""
+        return cut_lineage(getattr(self, name)())
+
     # scores -------------------------------------------------------------------------
     @cache
     def predictions(self) -> DataFrame:

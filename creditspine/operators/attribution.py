@@ -25,7 +25,7 @@ def linear_attribution(reference: DataFrame, current: DataFrame, model: FittedMo
     """Exact attribution of a linear model on the margin: ``beta * (x - mean)``,
     summed over the vector entries of a raw feature, mean of the absolute value
     over all current rows of a group. ``(by..., feature, mean_abs_shap)``."""
-    mean = _vectors(reference, model).select(Summarizer.mean("features").alias("m")).first()["m"].toArray()
+    mean = _vectors(reference, model).select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
     beta = model.classifier.coefficients.toArray()
     entries: dict[str, list[int]] = {}
     for i, name in enumerate(model.names):

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditspine.operators.ranks import bucket_of, quantile_edges, running_totals, unpivot_numeric
+from creditspine.operators.ranks import bucket_of, fit_edges, running_totals, unpivot_numeric
 from creditspine.operators.stats import chi_square_pvalue, ks_pvalue
 
 N_BINS = 10
@@ -28,8 +28,8 @@ def numeric_bins(df: DataFrame, edges: DataFrame, columns: Sequence[str], ids: S
                  edge_keys: Sequence[str] = ("feature",)) -> DataFrame:
     """Counts per (ids, feature, bin) against fitted edges; nulls are left out.
 
-    The edge table has one row per feature (and model), so Spark broadcasts it
-    by its measured size; rows are binned and counted before any shuffle.
+    The edge table is a local table with one row per feature (and model), so
+    Spark sees its size; rows are binned and counted before any shuffle.
     """
     long = unpivot_numeric(df, ids, columns).where(F.col("value").isNotNull())
     binned = long.join(edges, list(edge_keys)).withColumn("bin", _bin_name(bucket_of(F.col("value"), F.col("edges"))))
@@ -55,7 +55,7 @@ def numeric_distribution(df: DataFrame, columns: Sequence[str], n_bins: int = N_
 
     ``(feature, bin, lower, upper, share)``; a bin between equal edges has share 0.
     """
-    edges = quantile_edges(df, columns, n_bins)
+    edges = fit_edges(df, columns, n_bins)
     counts = with_shares(numeric_bins(df, edges, columns), ["feature"])
     return _all_bins(edges, n_bins, F.lit(float("-inf")), F.lit(float("inf"))).join(
         counts, ["feature", "bin"], "left"
@@ -76,7 +76,7 @@ def _all_bins(edges: DataFrame, n_bins: int, first: Column, last: Column) -> Dat
 
 def score_distribution(df: DataFrame, score: str, by: Sequence[str] = (), n_bins: int = N_BINS) -> DataFrame:
     """Decile edges of a score (ends 0 and 1) and the share per bin."""
-    edges = quantile_edges(df, [score], n_bins, by)
+    edges = fit_edges(df, [score], n_bins, by)
     counts = with_shares(numeric_bins(df, edges, [score], by, [*by, "feature"]), [*by, "feature"])
     return _all_bins(edges, n_bins, F.lit(0.0), F.lit(1.0)).join(
         counts, [*by, "feature", "bin"], "left"
@@ -122,7 +122,7 @@ def psi_from_bins(reference: DataFrame, current: DataFrame, subject: Sequence[st
 def prediction_psi(reference: DataFrame, current: DataFrame, score: str = "model_predictions",
                    version: str = "model_version", run: Sequence[str] = ("snapshot_date",)) -> DataFrame:
     """Drift of scores per (version, run) against the version's reference scores."""
-    edges = quantile_edges(reference, [score], N_BINS, [version])
+    edges = fit_edges(reference, [score], N_BINS, [version])
     ref = numeric_bins(reference, edges, [score], [version], [version, "feature"])
     cur = numeric_bins(current, edges, [score], [version, *run], [version, "feature"])
     out = psi_from_bins(ref, cur, [version, "feature"], run)
@@ -136,7 +136,7 @@ def feature_csi(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     A feature wholly null on either side has no bins there and gives no row.
     """
     run = list(run)
-    edges = quantile_edges(reference, numeric, N_BINS)
+    edges = fit_edges(reference, numeric, N_BINS)
     ref = numeric_bins(reference, edges, numeric).select("feature", "bin", "n")
     cur = numeric_bins(current, edges, numeric, run).select("feature", *run, "bin", "n")
     if categorical:

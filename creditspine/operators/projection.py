@@ -99,4 +99,6 @@ def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFr
     cut = rank_threshold(hashed, "_order", n)
     if cut is None:
         return df
+    if n <= 0:
+        return df.limit(0)
     return hashed.where(F.col("_order") <= F.lit(cut)).drop("_order")

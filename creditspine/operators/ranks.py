@@ -2,20 +2,29 @@
 
 Ranks over a whole table (AUC, Kolmogorov-Smirnov, exact quantiles, exact
 samples) would put all rows of a group into one task if written as one plain
-window. Here every operator first counts equal values (partial aggregation
-before the shuffle, so a value held by a third of all rows is one row
-afterwards), then cuts the distinct values of a group into range buckets of
-about equal size and adds bucket totals to in-bucket running sums.
+window. Here equal values are counted first (partial aggregation before the
+shuffle, so a value held by a third of all rows is one row afterwards). Running
+sums then cut the distinct values of a group into range buckets of about equal
+size; quantiles and samples only ever rank the values near the wanted ranks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from bisect import bisect_right
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditspine.sources.session import cut_lineage
+
 BUCKETS = 64
+ACCURACY = 10_000
+MAX_GROUPS = 10_000
+COLLECT_LIMIT = 200_000
 
 
 def bucket_of(value: Column, edges: Column) -> Column:
@@ -32,14 +41,16 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` per key group.
 
-    ``counts`` holds one row per (keys, order). Each group is cut into
-    ``buckets`` ranges by a bounded quantile sketch; only the per-bucket totals
-    (at most ``buckets`` rows a group) are summed across ranges, and the running
-    sums are windows inside one range.
+    ``counts`` holds one row per (keys, order); rows with a null key or value
+    are left out. It is needed three times below, so it is written out once
+    (eager). Each group is cut into ``buckets`` ranges by a bounded quantile
+    sketch; only the per-bucket totals (at most ``buckets`` rows a group) are
+    summed across ranges, and the running sums are windows inside one range.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("running_totals needs at least one key column")
+    counts = cut_lineage(counts.dropna(subset=[*keys, order]))
     cuts = [i / buckets for i in range(1, buckets)]
     edges = counts.groupBy(*keys).agg(
         F.percentile_approx(order, cuts, 1000).alias("_edges"),
@@ -81,22 +92,121 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    collect_limit: int = COLLECT_LIMIT,
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles of many columns in one job.
+    """Exact linear-interpolation quantiles of many columns at once.
+
+    Returns ``(by..., feature, prob, quantile)``. Nulls and null groups are left
+    out; a column without values gives no row. Eager, two scans:
 
-    Returns ``(by..., feature, prob, quantile)``. Nulls are ignored; a column
-    without values gives no row. The built-in exact percentile keeps all
-    distinct values of a group in one task's memory; this form spreads them.
+    1. one aggregate sketches a narrow value bracket around every wanted rank;
+    2. one aggregate counts values inside the brackets one by one and whole
+       gaps between brackets as single cells, so that next to nothing is
+       shuffled: about ``4 / accuracy`` of the rows per wanted rank.
+
+    The counted cells are ranked on the driver when there are at most
+    ``collect_limit`` of them by the sizes found in step 1, otherwise on the
+    cluster. The built-in exact percentile would keep all distinct values of a
+    group in one task's memory.
     """
+    by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     keys = [*by, "feature"]
+    rows = df.dropna(subset=by) if by else df
+    brackets, cells = _brackets(rows, columns, probs, by)
+    schema = _quantile_schema(df, by)
+    if brackets is not None and not brackets:
+        return df.sparkSession.createDataFrame([], schema)
+    long = unpivot_numeric(rows, by, columns).where(F.col("value").isNotNull())
+    if brackets is None:  # more groups than can be described on the driver
+        counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")).withColumns({
+            "top": F.col("value"), "single": F.lit(True)
+        })
+        return _rank_on_cluster(counts, keys, probs)
+
+    types = dict(df.dtypes)
+    table = df.sparkSession.createDataFrame(brackets, ", ".join(
+        [*[f"`{k}` {types[k]}" for k in by], "feature string", "spans array<struct<lo:double,hi:double>>"]
+    ))
+    value, spans = F.col("value"), F.col("spans")
+    single = F.exists(spans, lambda s: (s["lo"] <= value) & (value <= s["hi"]))
     counts = (
-        unpivot_numeric(df, by, columns)
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        long.join(table, keys)
+        .select(*keys, "value", F.size(F.filter(spans, lambda s: s["hi"] < value)).alias("cell"), single.alias("single"))
+        .groupBy(*keys, "cell", "single", F.when(F.col("single"), F.col("value")).alias("at"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"), F.max("value").alias("top"))
+        .drop("cell", "at")
     )
-    ranked = running_totals(counts, keys, "value", ["n"], buckets)
+    if cells > collect_limit:
+        return _rank_on_cluster(counts, keys, probs)
+    groups: dict[tuple, list[tuple]] = {}
+    for r in counts.collect():
+        groups.setdefault(tuple(r[k] for k in keys), []).append((r["value"], r["top"], r["n"], r["single"]))
+    out = [
+        (*key, p, q) for key, group in groups.items() for p, q in _rank_on_driver(sorted(group), probs)
+    ]
+    return df.sparkSession.createDataFrame(out, schema)
+
+
+def _quantile_schema(df: DataFrame, by: Sequence[str]) -> str:
+    types = dict(df.dtypes)
+    return ", ".join([*[f"`{k}` {types[k]}" for k in by], "feature string", "prob double", "quantile double"])
+
+
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> tuple[list | None, int]:
+    """Rows ``(by..., feature, disjoint value spans)`` and the expected number
+    of counted cells; None instead of rows when there are too many groups."""
+    reach = 2.0 / ACCURACY
+    grid = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
+    aggs = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, grid, ACCURACY).alias(f"q{i}")]
+    found = df.groupBy(*by).agg(*aggs).limit(MAX_GROUPS + 1).collect()
+    if len(found) > MAX_GROUPS:
+        return None, 0
+    rows, cells = [], 0
+    for r in found:
+        for i, c in enumerate(columns):
+            n = r[f"n{i}"]
+            if not n:
+                continue
+            spans: list[list[float]] = []
+            for lo, hi in sorted(zip(r[f"q{i}"][::2], r[f"q{i}"][1::2])):
+                if spans and lo <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], hi)
+                else:
+                    spans.append([lo, hi])
+            cells += min(n, int(4 * n / ACCURACY + 3) * len(probs))
+            rows.append((*[r[k] for k in by], c, [tuple(s) for s in spans]))
+    return rows, cells
+
+
+def _rank_on_driver(cells: Sequence[tuple], probs: Sequence[float]) -> list[tuple[float, float]]:
+    """Quantiles from sorted cells ``(lowest, highest, count, single value?)``."""
+    total = sum(n for _, _, n, _ in cells)
+    starts = list(accumulate((n for _, _, n, _ in cells), initial=0))
+
+    def at(rank: int) -> float:
+        i = bisect_right(starts, rank) - 1
+        low, top, n, single = cells[i]
+        if single or rank == starts[i]:
+            return low
+        if rank == starts[i] + n - 1:
+            return top
+        raise ArithmeticError("wanted rank lies outside its bracket")
+
+    out = []
+    for p in probs:
+        position = (total - 1) * p
+        low = math.floor(position)
+        a, b = at(low), at(math.ceil(position))
+        out.append((p, a + (b - a) * (position - low)))
+    return out
+
+
+def _rank_on_cluster(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The same from a distributed cell table (value, top, n, single)."""
+    ranked = running_totals(counts, keys, "value", ["n"])
 
     def holds(rank: Column) -> Column:
         return (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
@@ -104,20 +214,22 @@ def exact_quantiles(
     def position(p: Column) -> Column:
         return (F.col("n_total") - 1) * p
 
+    def at(rank: Column) -> Column:
+        first = F.col("single") | (rank == F.col("n_before"))
+        last = rank == F.col("n_before") + F.col("n") - 1
+        outside = F.raise_error(F.lit("wanted rank lies outside its bracket"))
+        return F.when(holds(rank), F.when(first, F.col("value")).when(last, F.col("top")).otherwise(outside.cast("double")))
+
     served = F.filter(
-        F.array(*[F.lit(float(p)) for p in probs]),
+        F.array(*[F.lit(p) for p in probs]),
         lambda p: holds(F.floor(position(p))) | holds(F.ceil(position(p))),
     )
-    at = position(F.col("prob"))
-    low, high = F.floor(at), F.ceil(at)
+    where = position(F.col("prob"))
+    low, high = F.floor(where), F.ceil(where)
     hits = (
         ranked.select("*", F.explode(served).alias("prob"))
         .groupBy(*keys, "prob")
-        .agg(
-            F.max(F.when(holds(low), F.col("value"))).alias("_low"),
-            F.max(F.when(holds(high), F.col("value"))).alias("_high"),
-            F.max(at - low).alias("_frac"),
-        )
+        .agg(F.max(at(low)).alias("_low"), F.max(at(high)).alias("_high"), F.max(where - low).alias("_frac"))
     )
     return hits.select(
         *keys, "prob",
@@ -142,38 +254,71 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     )
 
 
-def quantile_edges(df: DataFrame, columns: Sequence[str], n_bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Interior quantile bin edges per (by, feature) as one sorted array."""
-    probs = [i / n_bins for i in range(1, n_bins)]
-    q = exact_quantiles(df, columns, probs, by)
-    pairs = F.array_sort(F.collect_list(F.struct("prob", "quantile")))  # n_bins - 1 entries
-    return q.groupBy(*by, "feature").agg(F.transform(pairs, lambda p: p["quantile"]).alias("edges"))
+def fit_edges(df: DataFrame, columns: Sequence[str], n_bins: int, by: Sequence[str] = ()) -> DataFrame:
+    """Interior quantile bin edges, one row ``(by..., feature, edges)`` each.
+
+    Fits: the edges are part of a model's record (``n_bins - 1`` numbers per
+    feature and model), so they are brought back once and returned as a local
+    table that every later pass over the data reuses.
+    """
+    by = list(by)
+    q = exact_quantiles(df, columns, [i / n_bins for i in range(1, n_bins)], by)
+    edges: dict[tuple, list[tuple[float, float]]] = {}
+    for r in q.collect():
+        edges.setdefault((*[r[k] for k in by], r["feature"]), []).append((r["prob"], r["quantile"]))
+    rows = [(*key, [v for _, v in sorted(pairs)]) for key, pairs in sorted(edges.items())]
+    types = dict(df.dtypes)
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in by], "feature string", "edges array<double>"])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
-def rank_threshold(df: DataFrame, order: str, n: int, bits: int = 12) -> int | None:
-    """Value of the ``n``-th smallest entry of a 64-bit hash column; None when
-    the table has no more than ``n`` rows.
+def hash_cuts(df: DataFrame, order: str, wanted: Mapping[object, Sequence[int]], group: str | None = None,
+              step: int = 12) -> dict[tuple[object, int], int | None]:
+    """For each group, the value of the ``r``-th smallest entry of a 64-bit hash
+    column, for all wanted ranks ``r``; None when a group has no more rows.
 
-    Fits: two counting passes. The first counts rows per hash prefix (2**bits
-    rows reach the driver), the second ranks only the rows of one prefix.
+    Radix descent: each pass counts rows per next ``step`` bits, only inside the
+    cells that still hold a wanted rank, so a pass is one partial aggregate
+    whose result is at most ``2**step`` rows per wanted rank. The number of
+    passes grows with the logarithm of the table (two for a million rows).
     """
-    prefix = F.shiftright(F.col(order), 64 - bits)
-    counts = sorted((r["p"], r["n"]) for r in df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    total = sum(c for _, c in counts)
-    if n >= total:
-        return None
-    if n <= 0:
-        return -(1 << 63)
-    seen = 0
-    for p, c in counts:
-        if seen + c >= n:
-            inside = (
-                df.where(prefix == F.lit(p))
-                .groupBy(prefix.alias("p"), F.col(order).alias("h"))
-                .agg(F.count(F.lit(1)).alias("n"))
-            )
-            ranked = running_totals(inside, ["p"], "h", ["n"])
-            hit = ranked.where((F.col("n_before") < n - seen) & (F.col("n_before") + F.col("n") >= n - seen))
-            return hit.first()["h"]
-        seen += c
-    return None
+    g = F.col(group) if group else F.lit(0)
+    found: dict[tuple[object, int], int | None] = {}
+    open_cells = {(k, r): (0, None, r) for k, ranks in wanted.items() for r in ranks}  # bits, prefix, rank inside
+    for key in [key for key, (_, _, r) in open_cells.items() if r <= 0]:
+        found[key] = -(1 << 63) - 1  # below every hash
+        del open_cells[key]
+    while open_cells:
+        bits = next(iter(open_cells.values()))[0]
+        width = min(step, 64 - bits)
+        child = F.shiftright(F.col(order), 64 - bits - width)
+        rows = df
+        if bits:
+            parent = F.shiftright(F.col(order), 64 - bits)
+            cells = {(k, p) for (k, _), (_, p, _) in open_cells.items()}
+            rows = df.where(reduce(lambda a, b: a | b, [
+                ((g == F.lit(k)) if group else F.lit(True)) & (parent == F.lit(p)) for k, p in cells
+            ]))
+        counted = rows.groupBy(g.alias("g"), child.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = sorted((r["g"] if group else None, r["p"], r["n"]) for r in counted)
+        following = {}
+        for (k, rank), (_, prefix, left) in open_cells.items():
+            inside = [(p, n) for kk, p, n in counts if kk == (k if group else None) and (prefix is None or p >> width == prefix)]
+            if sum(n for _, n in inside) <= left and prefix is None:
+                found[k, rank] = None
+                continue
+            for p, n in inside:
+                if left <= n:
+                    break
+                left -= n
+            if left == n or bits + width == 64:  # the whole cell is taken: cut at its last hash
+                found[k, rank] = ((p + 1) << (64 - bits - width)) - 1
+            else:
+                following[k, rank] = (bits + width, p, left)
+        open_cells = following
+    return found
+
+
+def rank_threshold(df: DataFrame, order: str, n: int) -> int | None:
+    """Hash value of the ``n``-th smallest row; None when there are no more rows."""
+    return hash_cuts(df, order, {None: [n]})[None, n]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creditspine import schemas as S
 from creditspine.operators.projection import hash_order
-from creditspine.operators.ranks import rank_threshold
+from creditspine.operators.ranks import hash_cuts
 
 SPLIT_NAMES = ("train", "val", "test")
 
@@ -76,18 +76,22 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
     """
     hashed = df.withColumn("_order", hash_order(keys, seed))
     totals = {r["v"]: r["n"] for r in hashed.groupBy(F.col(label).alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    split = F.lit(None).cast("string")
+    if None in totals:
+        raise ValueError("stratified_split needs a label on every row")
+    ends = {}
     for value, n in totals.items():
-        if value is None:
-            raise ValueError("stratified_split needs a label on every row")
-        rows = hashed.where(F.col(label) == value)
         n_train = round(n * shares[0])
-        n_val = round((n - n_train) * shares[1] / (shares[1] + shares[2]))
-        here, c = F.lit(SPLIT_NAMES[2]), F.col("_order")
-        val_cut = rank_threshold(rows, "_order", n_train + n_val)
-        here = F.lit(SPLIT_NAMES[1]) if val_cut is None else F.when(c <= F.lit(val_cut), SPLIT_NAMES[1]).otherwise(here)
-        train_cut = rank_threshold(rows, "_order", n_train)
-        here = F.lit(SPLIT_NAMES[0]) if train_cut is None else F.when(c <= F.lit(train_cut), SPLIT_NAMES[0]).otherwise(here)
+        ends[value] = (n_train, n_train + round((n - n_train) * shares[1] / (shares[1] + shares[2])))
+    cuts = hash_cuts(hashed, "_order", {v: sorted(set(e)) for v, e in ends.items()}, label)
+    split = F.lit(None).cast("string")
+    for value, (train_end, val_end) in ends.items():
+        here = F.lit(SPLIT_NAMES[2])
+        for name, end in ((SPLIT_NAMES[1], val_end), (SPLIT_NAMES[0], train_end)):
+            cut = cuts[value, end]
+            if cut is None:
+                here = F.lit(name)
+            elif cut >= -(1 << 63):
+                here = F.when(F.col("_order") <= F.lit(cut), name).otherwise(here)
         split = F.when(F.col(label) == value, here).otherwise(split)
     return hashed.withColumn("split", split).drop("_order")
 

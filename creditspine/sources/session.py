@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and go on from there."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows as a table in the checkpoint folder and go on from there.
+
+    Used where a derived table feeds several jobs: it is computed once, the
+    copy outlives lost executors, and readers get column pruning and sizes.
+    """
+    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/creditspine/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
