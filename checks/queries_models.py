@@ -53,7 +53,7 @@ def _(t):
     ) + ", CASE WHEN Payment_of_Min_Amount = 'NM' THEN 1 ELSE 0 END AS payment_of_min_amount_nm FROM fin_raw"
 ))
 def _(t):
-    df = projection.replace_sentinels(t.raw_financials()).select(
+    df = projection.replace_sentinels(t.stored("raw_financials")).select(
         "Customer_ID", F.col("Credit_Mix").alias("credit_mix"), F.col("Payment_of_Min_Amount").alias("payment_of_min_amount"))
     model = encode.fit_one_hot_ml(df, ["credit_mix", "payment_of_min_amount"])
     return encode.apply_one_hot_ml(df, model, explode=True)
@@ -79,7 +79,7 @@ _caps = ["Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate", "Num_of_Delaye
     ) + " FROM fin"
 ))
 def _(t):
-    fin = t.financials()
+    fin = t.stored("financials")
     return impute.cap(fin, impute.fit_caps(fin, _caps, 0.01, 0.95))
 
 
@@ -88,7 +88,7 @@ query("cap_by_month", {**KEY, "Annual_Income": "f", "Interest_Rate": "f"}, (
         f"CASE WHEN {c} IS NOT NULL THEN least(quantile_cont(CAST({c} AS DOUBLE), 0.97) OVER (PARTITION BY snapshot_date), {c}) END AS {c}"
         for c in ("Annual_Income", "Interest_Rate")
     ) + " FROM fin"
-))(lambda t: impute.cap_within(t.financials(), ["Annual_Income", "Interest_Rate"], 0.97, ["snapshot_date"]))
+))(lambda t: impute.cap_within(t.stored("financials"), ["Annual_Income", "Interest_Rate"], 0.97, ["snapshot_date"]))
 query("winsorize", "Customer_ID:s emi_to_salary:f investment_rate:f", (
     "SELECT Customer_ID, " + ", ".join(
         f"CASE WHEN {c} IS NOT NULL THEN least((SELECT quantile_cont({c}, 0.99) FROM fin), {c}) END AS {c}" for c in ("emi_to_salary", "investment_rate")
@@ -97,7 +97,7 @@ query("winsorize", "Customer_ID:s emi_to_salary:f investment_rate:f", (
 query("trimmed_median", "feature:s median:f", (
     "SELECT 'Annual_Income' AS feature, quantile_cont(Annual_Income, 0.5) AS median FROM fin "
     "WHERE Annual_Income < (SELECT quantile_cont(Annual_Income, 0.99) FROM fin)"
-))(lambda t: impute.trimmed_median(t.financials(), "Annual_Income"))
+))(lambda t: impute.trimmed_median(t.stored("financials"), "Annual_Income"))
 
 
 def _filled(strategy: str, columns: list[str]) -> str:
@@ -108,7 +108,7 @@ def _filled(strategy: str, columns: list[str]) -> str:
 
 _gaps = ["Annual_Income", "Num_Bank_Accounts", "Num_of_Loan", "Credit_Mix_Label", "Payment_Value"]
 query("impute_median", {"Customer_ID": "s", **{c: "f" for c in _gaps}}, _filled("quantile_cont(CAST({c} AS DOUBLE), 0.5)", _gaps))(
-    lambda t: impute.fill(t.financials(), impute.fit_medians(t.financials(), _gaps)))
+    lambda t: impute.fill(t.stored("financials"), impute.fit_medians(t.stored("financials"), _gaps)))
 query("impute_mean", {"Customer_ID": "s", **{c: "f" for c in _gaps}}, _filled("avg({c})", _gaps))(
     lambda t: impute.fill(t.financials(), impute.fit_means(t.financials(), _gaps)))
 query("fill_constants", "Customer_ID:s Changed_Credit_Limit:f Num_of_Loan:i", (
@@ -116,7 +116,7 @@ query("fill_constants", "Customer_ID:s Changed_Credit_Limit:f Num_of_Loan:i", (
 ))(lambda t: impute.fill(t.financials(), {"Changed_Credit_Limit": 0.0, "Num_of_Loan": -1}))
 query("presence_flags", "Customer_ID:s has_credit_mix:i", (
     "SELECT Customer_ID, CAST(nullif(Credit_Mix, '_') IS NOT NULL AS INTEGER) AS has_credit_mix FROM fin_raw"
-))(lambda t: t.raw_financials().withColumn(
+))(lambda t: t.stored("raw_financials").withColumn(
     "has_credit_mix", (C.fill_category(C.null_tokens("Credit_Mix", ["_"])) != "Unknown").cast("int")))
 
 
@@ -173,7 +173,7 @@ query("chi_square", "feature:s statistic:f dof:i p_value:f", f"SELECT feature, s
 query("correlation", "column_a:s column_b:s correlation:f", " UNION ALL ".join(
     f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS correlation FROM fin"
     for i, a in enumerate(FIN_NUMERIC) for b in FIN_NUMERIC[i + 1:]
-))(lambda t: profile.correlation_matrix(t.financials(), FIN_NUMERIC))
+))(lambda t: profile.correlation_matrix(t.stored("financials"), FIN_NUMERIC))
 
 
 @query("pca_variance", "component:i explained:f cumulative:f")
@@ -220,7 +220,7 @@ query("duplicate_keys", "Customer_ID:s snapshot_date:d count:i", (
 ))(lambda t: profile.duplicate_keys(t.ledger()))
 query("repeated_ssn", "Customer_ID:s SSN:s", (
     "SELECT Customer_ID, SSN FROM att_raw QUALIFY row_number() OVER (PARTITION BY SSN ORDER BY Customer_ID) > 1"
-))(lambda t: profile.repeated_rows(t.raw_attributes(), "SSN", "Customer_ID"))
+))(lambda t: profile.repeated_rows(t.stored("raw_attributes"), "SSN", "Customer_ID"))
 query("numeric_summary", "column:s count:i mean:f std:f min:f max:f", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}) AS mean, stddev({c}) AS std, min({c}) AS min, max({c}) AS max FROM fin"
     for c in FIN_NUMERIC
@@ -228,18 +228,18 @@ query("numeric_summary", "column:s count:i mean:f std:f min:f max:f", " UNION AL
 _probs = [0.0, 0.1, 0.5, 0.9, 0.97, 0.99, 1.0]
 query("quantiles", "feature:s prob:f quantile:f", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {p} AS prob, quantile_cont(CAST({c} AS DOUBLE), {p}) AS quantile FROM fin" for c in FIN_NUMERIC for p in _probs
-))(lambda t: ranks.exact_quantiles(t.financials(), FIN_NUMERIC, _probs))
+))(lambda t: ranks.exact_quantiles(t.stored("financials"), FIN_NUMERIC, _probs))
 query("quantiles_of_ledger", "feature:s prob:f quantile:f", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {p} AS prob, quantile_cont({c[:-4]}_c / 100, {p}) AS quantile FROM led" for c in ("loan_amt", "overdue_amt") for p in _probs
-))(lambda t: ranks.exact_quantiles(t.ledger(), ["loan_amt", "overdue_amt"], _probs))
+))(lambda t: ranks.exact_quantiles(t.stored("ledger"), ["loan_amt", "overdue_amt"], _probs))
 query("quantiles_by_snapshot", "snapshot_date:d feature:s prob:f quantile:f", (
     "SELECT snapshot_date, 'Annual_Income' AS feature, 0.25 AS prob, quantile_cont(Annual_Income, 0.25) AS quantile FROM fin "
     "WHERE Annual_Income IS NOT NULL GROUP BY snapshot_date"
-))(lambda t: ranks.exact_quantiles(t.financials(), ["Annual_Income"], [0.25], ["snapshot_date"]))
+))(lambda t: ranks.exact_quantiles(t.stored("financials"), ["Annual_Income"], [0.25], ["snapshot_date"]))
 query("approx_quantile_count", "feature:s n:i", " UNION ALL ".join(f"SELECT '{c}' AS feature, 2 AS n FROM (SELECT count(*) FROM fin)" for c in _caps))(
     lambda t: ranks.approx_quantiles(t.financials(), _caps, [0.01, 0.95]).groupBy("feature").agg(F.count("quantile").alias("n")))
 query("distinct_values", "Payment_Behaviour:s", "SELECT DISTINCT Payment_Behaviour FROM fin_raw")(
-    lambda t: profile.distinct_values(t.raw_financials(), "Payment_Behaviour"))
+    lambda t: profile.distinct_values(t.stored("raw_financials"), "Payment_Behaviour"))
 query("default_rate_by_category", "Credit_Mix:s non_default:i default:i total:i default_rate:f", (
     "SELECT coalesce(Credit_Mix, 'Unknown') AS Credit_Mix, count(*) FILTER (WHERE label = 0) AS non_default, "
     "count(*) FILTER (WHERE label = 1) AS default, count(*) AS total, avg(label) AS default_rate FROM detail_training GROUP BY 1"
@@ -264,12 +264,12 @@ query("stratified_split", "label:i split:s n:i", (
     f"SELECT label, unnest(['train', 'val', 'test']) AS split, unnest([tr, va, n - tr - va]) AS n FROM (SELECT *, "
     f"CAST(round_even((n - tr) * 0.2 / (0.2 + 0.1), 0) AS BIGINT) AS va FROM (SELECT label, n, {_n_train} AS tr FROM "
     "(SELECT label, count(*) AS n FROM labels GROUP BY label)))"
-))(lambda t: splits.stratified_split(t.labels(), S.ID_COLS).groupBy("label", "split").agg(F.count("*").alias("n")))
+))(lambda t: splits.stratified_split(t.stored("labels"), S.ID_COLS).groupBy("label", "split").agg(F.count("*").alias("n")))
 query("random_split", "n:i both:i", "SELECT count(*) AS n, 2 AS both FROM labels")(
     lambda t: splits.random_split(t.labels(), S.ID_COLS).agg(F.count("*").alias("n"), F.count_distinct("split").alias("both")))
 query("reference_sample", "n:i distinct_rows:i", (
     "SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS distinct_rows FROM labels"
-))(lambda t: projection.sample_rows(t.labels(), S.ID_COLS, 5000, 42).agg(
+))(lambda t: projection.sample_rows(t.stored("labels"), S.ID_COLS, 5000, 42).agg(
     F.count("*").alias("n"), F.count_distinct("loan_id").alias("distinct_rows")))
 query("sample_fraction", "within:b", "SELECT true AS within FROM (SELECT count(*) FROM led)")(
     lambda t: projection.sample_fraction(t.ledger(), ["loan_id", "installment_num"], 0.2, 42).agg(
@@ -282,27 +282,27 @@ query("class_weights", "negatives:i positives:i weight_0:f weight_1:f positive_w
     "FROM (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1 FROM training)"
 ))(lambda t: modelling.class_counts(t.training()))
 query("auc_gini", "model_version:s split:s auc:f gini:f", "SELECT *, 2 * auc - 1 AS gini FROM auc_split")(
-    lambda t: metrics.auc_by(t.scored(), ["model_version", "split"], "model_predictions").withColumn("gini", F.col("auc") * 2 - 1))
+    lambda t: metrics.auc_by(t.stored("scored"), ["model_version", "split"], "model_predictions").withColumn("gini", F.col("auc") * 2 - 1))
 query("confusion_matrix", "model_version:s split:s tp:i fp:i tn:i fn:i", "SELECT * FROM conf_split")(
-    lambda t: metrics.confusion_by(t.scored(), ["model_version", "split"], "model_predictions"))
+    lambda t: metrics.confusion_by(t.stored("scored"), ["model_version", "split"], "model_predictions"))
 query("classification_metrics", "model_version:s split:s auc:f gini:f accuracy:f precision:f recall:f f1:f", (
     "SELECT c.model_version, c.split, a.auc, 2 * a.auc - 1 AS gini, (tp + tn) / (tp + fp + tn + fn) AS accuracy, "
     "coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall, "
     "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM conf_split c JOIN auc_split a "
     "ON c.model_version = a.model_version AND c.split = a.split"
-))(lambda t: metrics.classification_metrics(t.scored(), ["model_version", "split"], "model_predictions"))
+))(lambda t: metrics.classification_metrics(t.stored("scored"), ["model_version", "split"], "model_predictions"))
 query("champion_challenger", "champion_auc_oot:f challenger_auc_oot:f challenger_auc_uplift:f ab_test_recommended:b", (
     "SELECT a AS champion_auc_oot, b AS challenger_auc_oot, b - a AS challenger_auc_uplift, b - a >= 0.05 AS ab_test_recommended FROM "
     "(SELECT max(auc) FILTER (WHERE model_version = 'B') AS a, max(auc) FILTER (WHERE model_version = 'A') AS b FROM auc_split WHERE split = 'test')"
 ))(lambda t: modelling.compare_models(
-    metrics.auc_by(t.scored(), ["model_version", "split"], "model_predictions"), "B", "A", split="test"))
+    metrics.auc_by(t.stored("scored"), ["model_version", "split"], "model_predictions"), "B", "A", split="test"))
 O.CTES["sd_edges"] = f"SELECT model_version, quantile_cont(model_predictions, {O.DECILES}) AS e FROM scored GROUP BY ALL"
 query("score_distribution", "model_version:s bin:s lower:f upper:f share:f", (
     "SELECT x.model_version, lpad(CAST(x.i AS VARCHAR), 2, '0') AS bin, lower, upper, coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY x.model_version) AS share "
     "FROM (SELECT model_version, i, CASE WHEN i = 0 THEN 0.0 ELSE e[i] END AS lower, CASE WHEN i = 9 THEN 1.0 ELSE e[i + 1] END AS upper "
     "FROM sd_edges CROSS JOIN (SELECT unnest(range(0, 10)) AS i)) x LEFT JOIN (SELECT s.model_version, len([y for y in e if y <= model_predictions]) AS i, count(*) AS n "
     "FROM scored s JOIN sd_edges USING (model_version) WHERE model_predictions IS NOT NULL GROUP BY ALL) c ON x.model_version = c.model_version AND x.i = c.i"
-))(lambda t: drift.score_distribution(t.scored(), "model_predictions", ["model_version"]))
+))(lambda t: drift.score_distribution(t.stored("scored"), "model_predictions", ["model_version"]))
 _dist = ["Age", "Annual_Income", "Interest_Rate", "Payment_Value", "fe_1", "fe_9"]
 query("numeric_distribution", "feature:s bin:s lower:f upper:f share:f", (
     "SELECT x.feature, lpad(CAST(x.i AS VARCHAR), 2, '0') AS bin, lower, upper, coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY x.feature) AS share "
@@ -400,7 +400,7 @@ query("usable_columns", "feature:s snapshot_date:d usable:b", " UNION ALL ".join
 ))(lambda t: drift.usable_features(reference(t), current(t), [*O.DRIFT_NUMERIC, *O.DRIFT_CATEGORIES]))
 _perf_kinds = "snapshot_date:d model_version:s label_available:b auc:f gini:f accuracy:f precision:f recall:f f1:f"
 query("matured_performance", _perf_kinds, "SELECT * FROM perf_run")(
-    lambda t: monitor.matured_performance(t.predictions(), t.labels()))
+    lambda t: monitor.matured_performance(t.stored("predictions"), t.stored("labels")))
 
 
 def stand_in_attribution(t):
@@ -422,7 +422,7 @@ def monitoring(t):
             drift.ks_numeric(reference(t), current(t), O.DRIFT_NUMERIC),
             drift.chi_square_drift(reference(t), current(t), O.DRIFT_CATEGORIES)]),
         attribution=stand_in_attribution(t),
-        performance=monitor.matured_performance(prediction_runs(t), t.labels()),
+        performance=monitor.matured_performance(prediction_runs(t), t.stored("labels")),
     )
 
 
@@ -435,7 +435,7 @@ query("monitoring_rows", _row_kinds, "SELECT * FROM mon")(monitoring)
 query("performance_alerts", "snapshot_date:d model_version:s performance_alert_level:s performance_alert_reasons:s", (
     "SELECT *, " + f"{O._LEVELS}[1 + greatest({', '.join(O._perf_rank(m, g, l) for m, (g, l, _) in S.PERFORMANCE_BANDS.items())})] AS performance_alert_level, "
     f"concat_ws('; ', {', '.join(O._perf_reason(m, g, l, x) for m, (g, l, x) in S.PERFORMANCE_BANDS.items())}) AS performance_alert_reasons FROM perf_run"
-))(lambda t: monitor.performance_alerts(monitor.matured_performance(t.predictions(), t.labels())))
+))(lambda t: monitor.performance_alerts(monitor.matured_performance(t.stored("predictions"), t.stored("labels"))))
 query("feature_alerts", "snapshot_date:d model_version:s feature_alert_level:s feature_alert_reasons:s", (
     "SELECT snapshot_date, model_version, feature_alert_level, feature_alert_reasons FROM mon"
 ))(monitoring)

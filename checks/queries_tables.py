@@ -55,7 +55,7 @@ query("labels_at_mob_9_dpd_60", LABEL_KINDS, (
 query("silver_ledger_fill_missed_only", "loan_id:s installment_num:i due_amt:f paid_amt:f overdue_amt:f installments_missed:i dpd:i", (
     "SELECT l.loan_id, l.installment_num, a.due_c / 100 AS due_amt, a.paid_c / 100 AS paid_amt, a.overdue_c / 100 AS overdue_amt, "
     "l.installments_missed, l.dpd FROM led l JOIN amounts a ON l.loan_id = 'L' || a.k AND l.installment_num = a.i"
-))(lambda t: silver.silver_ledger(t.raw_ledger(), fill_all=False))
+))(lambda t: silver.silver_ledger(t.stored("raw_ledger"), fill_all=False))
 query("bad_rate_curve", "mob:i bad_rate:f", (
     "SELECT mob, avg(CASE WHEN dpd >= 30 THEN 1.0 ELSE 0 END) AS bad_rate FROM led WHERE loan_start_date < DATE '2000-01-01' GROUP BY mob"
 ))(lambda t: ledger.bad_rate_curve(t.ledger(), 30, "2000-01-01"))
@@ -84,7 +84,7 @@ query("one_snapshot", LEDGER_KINDS, "SELECT * FROM led WHERE snapshot_date = DAT
     ) + " FROM fin_raw"
 ))
 def _(t):
-    return t.raw_financials().select("Customer_ID", *[
+    return t.stored("raw_financials").select("Customer_ID", *[
         C.clean_numeric(c, *S.FINANCIAL_RULES[c]).alias(c)
         for c in ("Annual_Income", "Num_Bank_Accounts", "Changed_Credit_Limit", "Amount_invested_monthly")
     ])
@@ -92,44 +92,44 @@ def _(t):
 
 query("extract_number", "Customer_ID:s Num_of_Loan:i Annual_Income:f", (
     f"SELECT Customer_ID, {O.lenient('Num_of_Loan', 'int')} AS Num_of_Loan, {O.lenient('Annual_Income', 'double')} AS Annual_Income FROM fin_raw"
-))(lambda t: t.raw_financials().select(
+))(lambda t: t.stored("raw_financials").select(
     "Customer_ID", C.extract_number("Num_of_Loan", "int").alias("Num_of_Loan"),
     C.extract_number("Annual_Income", "double").alias("Annual_Income")))
 query("digits_only", "Customer_ID:s Age_clean:i", (
     "SELECT Customer_ID, CASE WHEN v BETWEEN 18 AND 100 THEN v END AS Age_clean FROM "
     "(SELECT Customer_ID, try_cast(nullif(regexp_replace(Age, '[^0-9]', '', 'g'), '') AS INTEGER) AS v FROM att_raw)"
-))(lambda t: t.raw_attributes().select("Customer_ID", C.digits_only("Age").alias("Age_clean")))
+))(lambda t: t.stored("raw_attributes").select("Customer_ID", C.digits_only("Age").alias("Age_clean")))
 query("valid_range", "Customer_ID:s age:i delay:i", (
     f"SELECT a.Customer_ID, CASE WHEN a.v BETWEEN 0 AND 120 THEN a.v END AS age, CASE WHEN f.d >= 0 THEN f.d END AS delay "
     f"FROM (SELECT Customer_ID, {O.lenient('Age', 'int')} AS v FROM att_raw) a "
     f"JOIN (SELECT Customer_ID, {O.lenient('Delay_from_due_date', 'int')} AS d FROM fin_raw) f USING (Customer_ID)"
-))(lambda t: t.raw_attributes().join(t.raw_financials(), "Customer_ID").select(
+))(lambda t: t.stored("raw_attributes").join(t.stored("raw_financials"), "Customer_ID").select(
     "Customer_ID", C.valid_range(C.extract_number("Age", "int"), 0, 120).alias("age"),
     C.valid_range(C.extract_number("Delay_from_due_date", "int"), 0).alias("delay")))
 query("null_placeholder", "Customer_ID:s by_pattern:s by_token:s", (
     f"SELECT Customer_ID, {O.clean_occupation()} AS by_pattern, nullif(Occupation, '_______') AS by_token FROM att_raw"
-))(lambda t: t.raw_attributes().select(
+))(lambda t: t.stored("raw_attributes").select(
     "Customer_ID", C.null_placeholder("Occupation").alias("by_pattern"),
     C.null_tokens("Occupation", ["_______"]).alias("by_token")))
 query("valid_pattern", "Customer_ID:s SSN:s", (
     "SELECT Customer_ID, CASE WHEN regexp_matches(SSN, '^\\d{3}-\\d{2}-\\d{4}$') THEN SSN END AS SSN FROM att_raw"
-))(lambda t: t.raw_attributes().select("Customer_ID", C.valid_pattern("SSN").alias("SSN")))
+))(lambda t: t.stored("raw_attributes").select("Customer_ID", C.valid_pattern("SSN").alias("SSN")))
 query("malformed_ssn", "SSN:s", (
     "SELECT DISTINCT SSN FROM att_raw WHERE NOT regexp_matches(SSN, '^\\d{3}-\\d{2}-\\d{4}$')"
-))(lambda t: projection.rows_not_matching(t.raw_attributes(), "SSN", C.SSN_PATTERN))
+))(lambda t: projection.rows_not_matching(t.stored("raw_attributes"), "SSN", C.SSN_PATTERN))
 query("ordinal_map", "Customer_ID:s rank:i", (
     f"SELECT Customer_ID, {O.CATEGORY_RANKS['Credit_Mix_Label']} AS rank FROM fin_raw"
-))(lambda t: t.raw_financials().select("Customer_ID", C.ordinal_map("Credit_Mix", S.CREDIT_MIX_RANK).alias("rank")))
+))(lambda t: t.stored("raw_financials").select("Customer_ID", C.ordinal_map("Credit_Mix", S.CREDIT_MIX_RANK).alias("rank")))
 query("yes_flag", "Customer_ID:s flag:i", (
     "SELECT Customer_ID, CAST(Payment_of_Min_Amount = 'Yes' AS INTEGER) AS flag FROM fin_raw"
-))(lambda t: t.raw_financials().select("Customer_ID", C.yes_flag("Payment_of_Min_Amount").alias("flag")))
+))(lambda t: t.stored("raw_financials").select("Customer_ID", C.yes_flag("Payment_of_Min_Amount").alias("flag")))
 query("split_behaviour", "Customer_ID:s level:i value:i legacy:i spent:s size:s", (
     f"SELECT Customer_ID, {O.CATEGORY_RANKS['Spending_Level']} AS level, {O.CATEGORY_RANKS['Payment_Value']} AS value, "
     "CASE WHEN contains(Payment_Behaviour, 'High_value') THEN 2 WHEN contains(Payment_Behaviour, 'Medium_value') THEN 1 "
     "WHEN contains(Payment_Behaviour, 'Small_value') THEN 0 END AS legacy, "
     "CASE WHEN Payment_Behaviour LIKE '%spent%' THEN split_part(Payment_Behaviour, '_', 1) END AS spent, "
     "CASE WHEN Payment_Behaviour LIKE '%spent%' THEN split_part(Payment_Behaviour, '_', 3) END AS size FROM fin_raw"
-))(lambda t: t.raw_financials().select(
+))(lambda t: t.stored("raw_financials").select(
     "Customer_ID", C.behaviour_level("Payment_Behaviour", S.SPENT_RANK).alias("level"),
     C.behaviour_value("Payment_Behaviour", S.VALUE_RANK).alias("value"),
     C.behaviour_value("Payment_Behaviour", S.VALUE_RANK_LEGACY).alias("legacy"),
@@ -137,13 +137,13 @@ query("split_behaviour", "Customer_ID:s level:i value:i legacy:i spent:s size:s"
 query("duration_months", "Customer_ID:s strict:i lenient:i years:i months:i", (
     f"SELECT Customer_ID, y * 12 + m AS strict, y * 12 + coalesce(m, 0) AS lenient, y AS years, m AS months FROM "
     f"(SELECT Customer_ID, {O.part_of('Credit_History_Age', 'Year')} AS y, {O.part_of('Credit_History_Age', 'Month')} AS m FROM fin_raw)"
-))(lambda t: t.raw_financials().select(
+))(lambda t: t.stored("raw_financials").select(
     "Customer_ID", C.duration_to_months("Credit_History_Age").alias("strict"),
     C.duration_to_months("Credit_History_Age", months_required=False).alias("lenient"),
     C.duration_part("Credit_History_Age", "Year").alias("years"), C.duration_part("Credit_History_Age", "Month").alias("months")))
 query("list_distinct_count", "Customer_ID:s n:i n_legacy:i", (
     f"SELECT Customer_ID, {O.list_count('Type_of_Loan', O.SEPARATOR)} AS n, {O.list_count('Type_of_Loan', O.SEPARATOR_LEGACY)} AS n_legacy FROM fin_raw"
-))(lambda t: t.raw_financials().select(
+))(lambda t: t.stored("raw_financials").select(
     "Customer_ID", C.list_distinct_count("Type_of_Loan").alias("n"), C.list_distinct_count("Type_of_Loan", True).alias("n_legacy")))
 query("age_bins", "Customer_ID:s silver:s feature:s report:s", (
     f"SELECT Customer_ID, {O.band('Age', *S.AGE_BANDS_SILVER)} AS silver, {O.band('Age', *S.AGE_BANDS_FEATURE)} AS feature, "
@@ -177,7 +177,7 @@ query("sentinel_replace", "Customer_ID:s Credit_Mix:s Credit_History_Age:s Num_o
     "SELECT Customer_ID, " + ", ".join(
         f"CASE WHEN {c} NOT IN ('_', 'NA') THEN {c} END AS {c}" for c in ("Credit_Mix", "Credit_History_Age", "Num_of_Delayed_Payment")
     ) + " FROM fin_raw"
-))(lambda t: projection.replace_sentinels(t.raw_financials()))
+))(lambda t: projection.replace_sentinels(t.stored("raw_financials")))
 query("not_null_filter", "Customer_ID:s Monthly_Balance:f", (
     "SELECT Customer_ID, Monthly_Balance FROM fin WHERE Monthly_Balance IS NOT NULL"
 ))(lambda t: t.financials().where(F.col("Monthly_Balance").isNotNull()))
@@ -201,7 +201,7 @@ query("silver_clickstream", {**KEY, **CLICK_KINDS}, "SELECT * FROM clk")(lambda
     ) + " FROM att"
 ))
 def _(t):
-    return silver.silver_attributes_flags(t.raw_attributes(), encode.fit_vocabulary(t.attributes(), "Occupation"))
+    return silver.silver_attributes_flags(t.stored("raw_attributes"), encode.fit_vocabulary(t.attributes(), "Occupation"))
 
 
 LOAN_FLAGS = {encode.safe_name("has_", v, lower=True): v for v in T.LOAN_TYPES}
@@ -213,7 +213,7 @@ LOAN_FLAGS = {encode.safe_name("has_", v, lower=True): v for v in T.LOAN_TYPES}
     ) + " FROM fin_raw"
 ))
 def _(t):
-    raw = t.raw_financials()
+    raw = t.stored("raw_financials")
     return silver.silver_financials_flags(raw, encode.fit_list_vocabulary(raw, "Type_of_Loan"))
 
 
@@ -227,7 +227,7 @@ LOAN_KEYS = ["auto_loan", "credit-builder_loan", "home_equity_loan", "mortgage_l
     ) + " FROM fin_raw"
 ))
 def _(t):
-    raw = t.raw_financials()
+    raw = t.stored("raw_financials")
     return silver.loan_type_table(raw, encode.fit_list_keys(raw, "Type_of_Loan"))
 
 
@@ -235,7 +235,7 @@ query("detail_attributes", "customer_id:s name:s age:i ssn:s occupation:s snapsh
     f"SELECT Customer_ID AS customer_id, Name AS name, CASE WHEN v BETWEEN 0 AND 120 THEN v END AS age, "
     "CASE WHEN regexp_matches(SSN, '^\\d{3}-\\d{2}-\\d{4}$') THEN SSN END AS ssn, nullif(Occupation, '_______') AS occupation, snapshot_date "
     f"FROM (SELECT *, {O.lenient('Age', 'int')} AS v FROM att_raw)"
-))(lambda t: silver.detail_attributes(t.raw_attributes()))
+))(lambda t: silver.detail_attributes(t.stored("raw_attributes")))
 
 _detail = {c: ("double" if c == "Num_Credit_Inquiries" else r[0]) for c, r in S.FINANCIAL_RULES.items()}
 _capped = [c for c in S.FINANCIAL_RULES if c.lower() in silver.CAPPED_IN_DETAIL]
@@ -258,7 +258,7 @@ query("detail_financials", {
     "customer_id": "s", "snapshot_date": "d", **{c.lower(): "f" for c in S.FINANCIAL_RULES}, "credit_mix": "s",
     "credit_history_age_year": "i", "credit_history_age_month": "i", "payment_of_min_amount": "s",
     "payment_behaviour_spent": "s", "payment_behaviour_value": "s",
-}, "SELECT * FROM detail")(lambda t: silver.detail_financials(t.raw_financials()))
+}, "SELECT * FROM detail")(lambda t: silver.detail_financials(t.stored("raw_financials")))
 
 
 # --- joins -----------------------------------------------------------------------------
@@ -406,7 +406,7 @@ query("financial_features", {
     "CASE WHEN occupation = 'BUILDING' THEN 1 ELSE 0 END AS occupation_building, auto_loan, h.avg_fe_1, h.avg_fe_8 FROM j LEFT JOIN h ON j.customer_id = h.Customer_ID"
 ))
 def _(t):
-    raw = t.raw_financials()
+    raw = t.stored("raw_financials")
     types = silver.loan_type_table(raw, encode.fit_list_keys(raw, "Type_of_Loan"))
     return gold.detail_features(
-        silver.detail_attributes(t.raw_attributes()), silver.detail_financials(raw), types, t.clickstream(), t.ledger(), t.labels())
+        silver.detail_attributes(t.stored("raw_attributes")), silver.detail_financials(raw), types, t.clickstream(), t.ledger(), t.labels())

@@ -173,6 +173,9 @@ def _select(df: DataFrame, rules: dict[str, str], *keep: str) -> DataFrame:
     return df.selectExpr(*keep, *[f"{e} as {n}" for n, e in rules.items()])
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Testbed:
     """The derived tables over one driver data folder (all lazy, built once)."""
 
@@ -181,7 +184,13 @@ class Testbed:
 
     @cache
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Give a table stored as fewer splits than there are cores one part per
+        core; tables of any size have more splits and are left alone."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
     # raw sources ------------------------------------------------------------
     @cache
@@ -230,19 +239,19 @@ class Testbed:
     # silver and gold ------------------------------------------------------------
     @cache
     def ledger(self) -> DataFrame:
-        return silver.silver_ledger(self.raw_ledger())
+        return silver.silver_ledger(self.stored("raw_ledger"))
 
     @cache
     def attributes(self) -> DataFrame:
-        return silver.silver_attributes(self.raw_attributes())
+        return silver.silver_attributes(self.stored("raw_attributes"))
 
     @cache
     def financials(self) -> DataFrame:
-        return silver.silver_financials(self.raw_financials())
+        return silver.silver_financials(self.stored("raw_financials"))
 
     @cache
     def clickstream(self) -> DataFrame:
-        return silver.silver_clickstream(self.raw_clickstream())
+        return silver.silver_clickstream(self.stored("raw_clickstream"))
 
     @cache
     def labels(self) -> DataFrame:
@@ -259,7 +268,7 @@ class Testbed:
     @cache
     def detail_training(self) -> DataFrame:
         """Cleaned numbers with the raw text categories and the label."""
-        raw = self.raw_financials()
+        raw = self.stored("raw_financials")
         typed = raw.withColumns({
             **silver._financial_numbers(),
             "snapshot_date": F.to_date("snapshot_date"),
@@ -270,16 +279,19 @@ class Testbed:
 
     @cache
     def attribute_training(self) -> DataFrame:
-        raw = self.raw_attributes().withColumns({
+        raw = self.stored("raw_attributes").withColumns({
             "snapshot_date": F.to_date("snapshot_date"),
             "Occupation": F.when(F.col("Occupation") != "_______", F.trim("Occupation")),
         })
         return label_join(raw, self.labels(), direction="back")
 
-    @cache
     def stored(self, name: str) -> DataFrame:
-        """A derived table written out once, as the jobs read stored tables."""
-        return cut_lineage(getattr(self, name)())
+        """A derived table written out once per session, so that queries start
+        from stored tables as the jobs do."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _STORED:
+            _STORED[key] = cut_lineage(getattr(self, name)())
+        return self._spread(_STORED[key])
 
     # scores -------------------------------------------------------------------------
     @cache

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from creditspine.operators.ranks import bucket_of, fit_edges, running_totals, unpivot_numeric
 from creditspine.operators.stats import chi_square_pvalue, ks_pvalue
+from creditspine.sources.session import cut_lineage
 
 N_BINS = 10
 EMPTY_SHARE = 1e-4
@@ -106,9 +107,11 @@ def psi_from_bins(reference: DataFrame, current: DataFrame, subject: Sequence[st
     """Stability index per (subject, run): ``sum((p - q) * ln(p / q))``.
 
     ``reference`` counts bins per subject, ``current`` per subject and run. Both
-    are bin counts, so their size is bins, not rows.
+    are bin counts, so their size is bins, not rows; they are written out once
+    (eager) because shares, runs and the comparison all read them.
     """
     subject, run = list(subject), list(run)
+    reference, current = cut_lineage(reference), cut_lineage(current)
     ref = with_shares(reference, subject).select(*subject, "bin", F.col("share").alias("p"))
     cur = with_shares(current, [*subject, *run]).select(*subject, *run, "bin", F.col("share").alias("q"))
     runs = cur.select(*subject, *run).distinct()
@@ -165,7 +168,7 @@ def ks_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str],
             .groupBy("feature", *ids, "value").agg(F.count(F.lit(1)).alias("n"))
         )
 
-    cur = counts(current, run).withColumns({"n_ref": F.lit(0).cast("bigint"), "n_cur": F.col("n")}).drop("n")
+    cur = cut_lineage(counts(current, run)).withColumns({"n_ref": F.lit(0).cast("bigint"), "n_cur": F.col("n")}).drop("n")
     runs = cur.select(*keys).distinct()
     ref = counts(reference, []).join(runs, "feature").withColumns({
         "n_ref": F.col("n"), "n_cur": F.lit(0).cast("bigint")
@@ -202,8 +205,8 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns: Sequence
         long = wide.unpivot(list(ids), list(columns), "feature", "bin").where(F.col("bin").isNotNull())
         return long.groupBy(*ids, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
 
-    ref = with_shares(counts(reference, []), ["feature"]).select("feature", "bin", "share")
-    cur = counts(current, run)
+    ref = with_shares(cut_lineage(counts(reference, [])), ["feature"]).select("feature", "bin", "share")
+    cur = cut_lineage(counts(current, run))  # category counts, read several times below
     totals = cur.groupBy(*run, "feature").agg(F.sum("n").alias("total"))
     cells = ref.join(totals.drop("total"), "feature").join(cur, [*run, "feature", "bin"], "full")
     cells = cells.join(totals, [*run, "feature"])

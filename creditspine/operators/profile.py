@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from creditspine import schemas as S
 from creditspine.operators.stats import chi_square_pvalue
+from creditspine.sources.session import cut_lineage
 
 
 def is_missing(df: DataFrame, column: str) -> Column:
@@ -89,7 +90,8 @@ def chi_square_independence(df: DataFrame, columns: Sequence[str], label: str =
     long = df.select(
         F.col(label).cast("string").alias("label"), *[F.col(c).cast("string").alias(c) for c in columns]
     ).unpivot(["label"], list(columns), "feature", "category")
-    cells = long.groupBy("feature", "category", "label").agg(F.count(F.lit(1)).alias("n"))
+    # category counts: small, and read by the margins and by the comparison
+    cells = cut_lineage(long.groupBy("feature", "category", "label").agg(F.count(F.lit(1)).alias("n")))
     rows = cells.groupBy("feature", "category").agg(F.sum("n").alias("row_n"))
     cols = cells.groupBy("feature", "label").agg(F.sum("n").alias("col_n"))
     size = rows.groupBy("feature").agg(F.sum("row_n").alias("total"), F.count(F.lit(1)).alias("r"))
