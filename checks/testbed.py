@@ -179,6 +179,8 @@ _STORED: dict[tuple[str, str, str], DataFrame] = {}
 class Testbed:
     """The derived tables over one driver data folder (all lazy, built once)."""
 
+    __test__ = False  # not a test case, despite the name
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
