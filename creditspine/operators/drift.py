@@ -26,14 +26,14 @@ def _bin_name(index: Column) -> Column:
 
 
 def numeric_bins(df: DataFrame, edges: DataFrame, columns: Sequence[str], ids: Sequence[str] = (),
-                 edge_keys: Sequence[str] = ("feature",)) -> DataFrame:
+                 edge_keys: Sequence[str] = ("feature",), n_bins: int = N_BINS) -> DataFrame:
     """Counts per (ids, feature, bin) against fitted edges; nulls are left out.
 
     The edge table is a local table with one row per feature (and model), so
     Spark sees its size; rows are binned and counted before any shuffle.
     """
     long = unpivot_numeric(df, ids, columns).where(F.col("value").isNotNull())
-    binned = long.join(edges, list(edge_keys)).withColumn("bin", _bin_name(bucket_of(F.col("value"), F.col("edges"))))
+    binned = long.join(edges, list(edge_keys)).withColumn("bin", _bin_name(bucket_of(F.col("value"), F.col("edges"), n_bins - 1)))
     return binned.groupBy(*dict.fromkeys([*edge_keys, *ids, "feature"]), "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -57,7 +57,7 @@ def numeric_distribution(df: DataFrame, columns: Sequence[str], n_bins: int = N_
     ``(feature, bin, lower, upper, share)``; a bin between equal edges has share 0.
     """
     edges = fit_edges(df, columns, n_bins)
-    counts = with_shares(numeric_bins(df, edges, columns), ["feature"])
+    counts = with_shares(numeric_bins(df, edges, columns, n_bins=n_bins), ["feature"])
     return _all_bins(edges, n_bins, F.lit(float("-inf")), F.lit(float("inf"))).join(
         counts, ["feature", "bin"], "left"
     ).select("feature", "bin", "lower", "upper", F.coalesce("share", F.lit(0.0)).alias("share"))
@@ -78,7 +78,7 @@ def _all_bins(edges: DataFrame, n_bins: int, first: Column, last: Column) -> Dat
 def score_distribution(df: DataFrame, score: str, by: Sequence[str] = (), n_bins: int = N_BINS) -> DataFrame:
     """Decile edges of a score (ends 0 and 1) and the share per bin."""
     edges = fit_edges(df, [score], n_bins, by)
-    counts = with_shares(numeric_bins(df, edges, [score], by, [*by, "feature"]), [*by, "feature"])
+    counts = with_shares(numeric_bins(df, edges, [score], by, [*by, "feature"], n_bins), [*by, "feature"])
     return _all_bins(edges, n_bins, F.lit(0.0), F.lit(1.0)).join(
         counts, [*by, "feature", "bin"], "left"
     ).select(*by, "bin", "lower", "upper", F.coalesce("share", F.lit(0.0)).alias("share"))

@@ -21,15 +21,30 @@ from pyspark.sql import functions as F
 
 from creditspine.sources.session import cut_lineage
 
-BUCKETS = 64
+BUCKET_WIDTH = 8
 ACCURACY = 10_000
 MAX_GROUPS = 10_000
 COLLECT_LIMIT = 200_000
 
 
-def bucket_of(value: Column, edges: Column) -> Column:
-    """Number of interior edges at or below the value: its half-open bin."""
-    return F.size(F.filter(edges, lambda e: e <= value))
+def bucket_of(value: Column, edges: Column, n_edges: int) -> Column:
+    """Number of interior edges at or below the value: its half-open bin.
+
+    Written as a sum of ``n_edges`` comparisons, which is generated code; a
+    higher-order function over the array would be interpreted row by row.
+    """
+    return sum(((F.get(edges, F.lit(j)) <= value).cast("int") for j in range(n_edges)), F.lit(0))
+
+
+def with_bucket(df: DataFrame, value: str, edges: str, width: int = BUCKET_WIDTH) -> DataFrame:
+    """Add ``_bucket`` for ``width**2 - 1`` sorted edges in two steps of
+    ``width - 1`` comparisons: first the block of edges, then inside the block."""
+    v, e = F.col(value), F.col(edges)
+    steps = range(width - 1)
+    block = sum(((F.get(e, F.lit(width * j + width - 1)) <= v).cast("int") for j in steps), F.lit(0))
+    first = F.col("_block") * width
+    inside = sum(((F.get(e, first + j) <= v).cast("int") for j in steps), F.lit(0))
+    return df.withColumn("_block", block).withColumn("_bucket", first + inside).drop("_block")
 
 
 def running_totals(
@@ -37,28 +52,26 @@ def running_totals(
     keys: Sequence[str],
     order: str,
     measures: Sequence[str],
-    buckets: int = BUCKETS,
+    width: int = BUCKET_WIDTH,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` per key group.
 
     ``counts`` holds one row per (keys, order); rows with a null key or value
     are left out. It is needed three times below, so it is written out once
-    (eager). Each group is cut into ``buckets`` ranges by a bounded quantile
-    sketch; only the per-bucket totals (at most ``buckets`` rows a group) are
+    (eager). Each group is cut into ``width**2`` ranges by a bounded quantile
+    sketch; only the per-range totals (at most that many rows a group) are
     summed across ranges, and the running sums are windows inside one range.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("running_totals needs at least one key column")
     counts = cut_lineage(counts.dropna(subset=[*keys, order]))
-    cuts = [i / buckets for i in range(1, buckets)]
+    cuts = [i / width**2 for i in range(1, width**2)]
     edges = counts.groupBy(*keys).agg(
         F.percentile_approx(order, cuts, 1000).alias("_edges"),
         *[F.sum(m).alias(f"{m}_total") for m in measures],
     )
-    placed = counts.join(edges, keys).withColumn(
-        "_bucket", bucket_of(F.col(order), F.col("_edges"))
-    ).drop("_edges")
+    placed = with_bucket(counts.join(edges, keys), order, "_edges", width).drop("_edges")
 
     across = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -125,13 +138,17 @@ def exact_quantiles(
 
     types = dict(df.dtypes)
     table = df.sparkSession.createDataFrame(brackets, ", ".join(
-        [*[f"`{k}` {types[k]}" for k in by], "feature string", "spans array<struct<lo:double,hi:double>>"]
+        [*[f"`{k}` {types[k]}" for k in by], "feature string", *[f"lo{j} double, hi{j} double" for j in range(len(probs))]]
     ))
-    value, spans = F.col("value"), F.col("spans")
-    single = F.exists(spans, lambda s: (s["lo"] <= value) & (value <= s["hi"]))
+    # span starts at or below the value plus span ends below it: odd inside a span
+    value = F.col("value")
+    cell = sum(
+        ((value >= F.col(f"lo{j}")).cast("int") + (value > F.col(f"hi{j}")).cast("int") for j in range(len(probs))), F.lit(0)
+    )
     counts = (
         long.join(table, keys)
-        .select(*keys, "value", F.size(F.filter(spans, lambda s: s["hi"] < value)).alias("cell"), single.alias("single"))
+        .select(*keys, "value", cell.alias("cell"))
+        .withColumn("single", F.col("cell") % 2 == 1)
         .groupBy(*keys, "cell", "single", F.when(F.col("single"), F.col("value")).alias("at"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"), F.max("value").alias("top"))
         .drop("cell", "at")
@@ -153,8 +170,9 @@ def _quantile_schema(df: DataFrame, by: Sequence[str]) -> str:
 
 
 def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> tuple[list | None, int]:
-    """Rows ``(by..., feature, disjoint value spans)`` and the expected number
-    of counted cells; None instead of rows when there are too many groups."""
+    """Rows ``(by..., feature, lo0, hi0, lo1, ...)`` of disjoint value spans, one
+    per wanted rank at most, padded with infinity, and the expected number of
+    counted cells; None instead of rows when there are too many groups."""
     reach = 2.0 / ACCURACY
     grid = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
     aggs = []
@@ -177,7 +195,8 @@ def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
                 else:
                     spans.append([lo, hi])
             cells += min(n, int(4 * n / ACCURACY + 3) * len(probs))
-            rows.append((*[r[k] for k in by], c, [tuple(s) for s in spans]))
+            spans += [[math.inf, math.inf]] * (len(probs) - len(spans))
+            rows.append((*[r[k] for k in by], c, *[x for s in spans for x in s]))
     return rows, cells
 
 
