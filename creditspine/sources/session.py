@@ -28,14 +28,16 @@ def tune(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is set only when the session names none, which is meant
-    for tests on one machine.
+    A folder of our own is set only when the session names none and runs on one
+    machine, as in tests; on a cluster a machine-local folder would not be shared.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current:
         return current
+    if not named and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = named or tempfile.mkdtemp(prefix="creditspine-checkpoint-")
     context.setCheckpointDir(root)
     return root
