@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +21,15 @@ RUNTIME = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session.
+
+    Python workers get the folder of this package on their path, as the driver
+    has it; on a cluster it is installed or passed with ``--py-files``.
+    """
+    home = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark
