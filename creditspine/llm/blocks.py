@@ -24,8 +24,7 @@ def deal(members: DataFrame, bucket: str, member: str, sizes: DataFrame, n_shard
 
     ``sizes`` holds (bucket, n) of the buckets to compare; others are left out.
     """
-    slices = F.ceil(F.col("n") / slice_rows).cast("int")
-    out = members.join(sizes.select(bucket, slices.alias("_slices")), bucket)
+    out = members.join(sizes, bucket).withColumn("_slices", F.ceil(F.col("n") / slice_rows).cast("int")).drop("n")
     out = out.withColumn("_own", F.pmod(F.xxhash64(member), F.col("_slices")).cast("int"))
     out = out.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
     low, high = F.least("_own", "_with"), F.greatest("_own", "_with")

@@ -29,6 +29,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from creditspine.llm.common import store
 
@@ -270,8 +271,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     [part.column("row"), part.column("text"), pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64())],
                     names=["row", "text", "lang_pred", "score"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, text string, lang_pred string, score double")
+    out = StructType([rows.schema["row"]]).add("text", "string").add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(run, out)
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:

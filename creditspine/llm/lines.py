@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from creditspine.llm.common import BLANK, shards, store
 
@@ -184,8 +185,8 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     # the text travels once; in ``row`` it is left out
     slim = rows.withColumn("row", F.col("row").dropFields(f"`{text_col}`")) if len(docs.columns) > 1 else rows.withColumn("row", F.struct(F.lit(0).alias("none")))
     met = slim.join(dropped, "key", "left").select("row", "text", "gone")
-    kind = met.schema["row"].dataType.simpleString()
-    return met.mapInArrow(cut, f"row {kind}, text string, n_lines long, n_dropped long")
+    out = StructType([met.schema["row"]]).add("text", "string").add("n_lines", "long").add("n_dropped", "long")
+    return met.mapInArrow(cut, out)
 
 
 def drop_common_lines(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -121,14 +121,16 @@ def _best_exchange(low: list[int], bins: list[list[int]], others: list[int], fil
     return best
 
 
-def improve(bins: list[list[int]], size: np.ndarray, capacity: int, width: int = 64) -> list[list[int]]:
-    """Local search; a step looks at the ``width`` emptiest other bins that have room."""
+def improve(bins: list[list[int]], size: np.ndarray, capacity: int, width: int = 64, steps: int = 2000) -> list[list[int]]:
+    """Local search of at most ``steps`` tries; one looks at the ``width`` emptiest other bins that have room."""
     bins = [list(b) for b in bins]
     fill = np.array([int(size[b].sum()) for b in bins], dtype=np.int64)
     least = -(-int(size.sum()) // capacity)
     alive = int((fill > 0).sum())
     stuck: set[int] = set()
-    while alive > least:
+    for _ in range(steps):
+        if alive <= least:
+            break
         under = [int(b) for b in np.argsort(fill, kind="stable") if 0 < fill[b] < capacity]
         low = next((b for b in under if b not in stuck), None)
         if low is None:
@@ -143,6 +145,7 @@ def improve(bins: list[list[int]], size: np.ndarray, capacity: int, width: int =
         bins[o] = [k for k in bins[o] if k not in back] + out
         fill[low] -= gain
         fill[o] += gain
+        stuck.clear()
         alive -= not bins[low]
     return [b for b in bins if b]
 

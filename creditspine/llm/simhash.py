@@ -32,6 +32,8 @@ SEED = 42
 BITS = 64
 #: Hashes whose bits are counted at a time; bounds the memory of a long text.
 CHUNK = 1 << 14
+#: Largest table (of two longs) that is broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def fingerprint(text: str | None, width: int) -> int:
@@ -98,7 +100,10 @@ def linked_fingerprints(distinct: DataFrame, max_distance: int) -> DataFrame:
     twos = held.where("n = 2").where(distance <= max_distance).select("a", "b").distinct()
 
     many = held.where("n > 2").select("variant", "n")
-    dealt = deal(variants, "variant", "fp", many, shards(many.agg(F.sum("n")).first()[0] or 0, 16384))
+    n_many, members = many.agg(F.count(F.lit(1)), F.sum("n")).first()
+    # a list of shared variants of bounded size is sent to the variants; a longer one is shuffled with them
+    many = F.broadcast(many) if n_many <= BROADCAST_ROWS else many
+    dealt = deal(variants, "variant", "fp", many, shards(members or 0, 2048))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["_block", "_side"], kind="stable")
@@ -149,6 +154,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     out = docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
     if groups.count() == groups.select(id_col).distinct().count():
         return out
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col, *[c for c in docs.columns if c not in (id_col, text_col)]))
+    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col, *[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]))
     some = out.where(F.col(id_col).isNotNull()).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), first.alias("first"))
     return some.where("first = 1").select("row.*").unionAll(out.where(F.col(id_col).isNull()))
