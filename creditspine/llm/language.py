@@ -8,7 +8,7 @@ maximisation over the same lattice, from the words of about ``per_language``
 labelled documents of each language, drawn by a hash of the id. The model has one
 number per language and piece, bounded by the vocabulary.
 
-Only new words are scored: a worker remembers a bounded number of words.
+Only new words are scored: a task remembers a bounded number of words.
 
 Defined results: a null text or one without letters is ``und`` with score 0, as
 is every text if nothing could be learned. Ties go to the first language in code
@@ -37,8 +37,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: A longer word is scored in parts of this length.
 LONGEST = 40
-#: Words that a worker remembers.
-REMEMBERED = 400_000
+#: Words that a task remembers.
+REMEMBERED = 250_000
 #: Probabilities are scaled per character to stay within doubles.
 SCALE = 30.0
 UNKNOWN = 1e-6
@@ -243,18 +243,6 @@ class Scorer:
         return names, scores
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
-def scorer_of(model: Model) -> Scorer:
-    """The scorer of this worker process; its memory outlives a task."""
-    key = hash((*model.languages, *model.pieces[:1], model.p.tobytes()))
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model)
-    return _SCORERS[key]
-
-
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """(row, text, lang_pred, score): ``row`` is a struct of the other columns."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0).alias("none")]
@@ -262,7 +250,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.pieces, model.p))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(Model(*shared.value))
+        scorer = Scorer(Model(*shared.value))  # its memory goes with the task
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)

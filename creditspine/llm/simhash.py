@@ -89,7 +89,9 @@ def linked_fingerprints(distinct: DataFrame, max_distance: int) -> DataFrame:
     by two fingerprints is their pair; one held by more goes to blocks.
     """
     masks = variant_masks(max_distance)
-    variants = distinct.select("fp", F.posexplode(F.array(*[F.lit(m) for m in masks])).alias("v", "mask")).select(
+    # each fingerprint becomes many rows: spread them before that
+    spread = distinct.select("fp").repartition(shards(distinct.count(), 16384), "fp")
+    variants = spread.select("fp", F.posexplode(F.array(*[F.lit(m) for m in masks])).alias("v", "mask")).select(
         F.xxhash64("v", F.col("fp").bitwiseAND(F.col("mask"))).alias("variant"), "fp"
     )
     held = store(
