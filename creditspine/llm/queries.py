@@ -68,7 +68,7 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_root(tune(spark)).rstrip('/')}/creditspine/records-{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
     records.write_records(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return records.read_records(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return records.read_records(spark, folder, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,13 +85,14 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     frames = dealt.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("maxRecordsPerFile", per_file).option("lineSep", "\n").text(f"{folder}/data")
-    parsed(docs.sparkSession, folder).select("file", "offset", "length", "id", "n_tokens").write.parquet(f"{folder}/index")
+    parsed(docs.sparkSession, folder, False).select("file", "offset", "length", "id", "n_tokens").write.parquet(f"{folder}/index")
 
 
-def parsed(spark: SparkSession, folder: str) -> DataFrame:
+def parsed(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Every record in the files: (file, offset, length, id, before, n_tokens, ids_crc32, ids).
 
-    ``before`` counts the tokens of the same file ahead of the record.
+    ``before`` counts the tokens of the same file ahead of the record; without
+    ``with_ids`` the ids are checked and left out.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +102,7 @@ def parsed(spark: SparkSession, folder: str) -> DataFrame:
                 while at < len(data):
                     doc, ids, end = unframe(data, at)
                     wide = ids.astype("<u4").tobytes()
-                    rows.append((path.rsplit("/", 1)[1], at, end - at, doc, before, len(ids), zlib.crc32(wide), wide))
+                    rows.append((path.rsplit("/", 1)[1], at, end - at, doc, before, len(ids), zlib.crc32(wide), wide if with_ids else None))
                     before += len(ids)
                     at = end
                     if len(rows) == SLICE:
@@ -123,13 +124,13 @@ def _table(rows: list[tuple]) -> pd.DataFrame:
     return out
 
 
-def read_records(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
+def read_records(spark: SparkSession, folder: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """(id_col, start, n_tokens, ids_crc32, ids) from the files; ``start`` counts all tokens ahead."""
     index = spark.read.parquet(f"{folder}/index")
     # one row per file: its name sorts it among the files
     ahead = F.coalesce(F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = index.groupBy("file").agg(F.sum("n_tokens").alias("tokens")).select("file", ahead.alias("ahead"))
-    rows = parsed(spark, folder).join(F.broadcast(files) if files.count() <= 100_000 else files, "file")
+    rows = parsed(spark, folder, with_ids).join(F.broadcast(files) if files.count() <= 100_000 else files, "file")
     return rows.select(F.col("id").alias(id_col), (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "ids")
 
 

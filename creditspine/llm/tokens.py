@@ -22,7 +22,7 @@ LOOSE = [" " + c for c in SPACES] + ["\n" + c for c in SPACES] + [c + "\n" for c
 WORD_START = re.compile(r" (?=\S)")
 ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
 #: Pieces in each of the two generations that the memory holds.
-GENERATION = 300_000
+GENERATION = 400_000
 #: Longest piece that is remembered, in characters.
 LONGEST = 64
 CLOSING = ".,;:!?"
