@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditspine.operators.ranks import bucket_of, fit_edges, running_totals, unpivot_numeric
+from creditspine.operators.ranks import bucket_of, fit_edges, running_totals, small, unpivot_numeric
 from creditspine.operators.stats import chi_square_pvalue, ks_pvalue
 from creditspine.sources.session import cut_lineage
 
@@ -29,11 +29,11 @@ def numeric_bins(df: DataFrame, edges: DataFrame, columns: Sequence[str], ids: S
                  edge_keys: Sequence[str] = ("feature",), n_bins: int = N_BINS) -> DataFrame:
     """Counts per (ids, feature, bin) against fitted edges; nulls are left out.
 
-    The edge table is a local table with one row per feature (and model), so
-    Spark sees its size; rows are binned and counted before any shuffle.
+    The edge table has one row per feature (and model); counted and found small
+    it is broadcast, so rows are binned and counted before any shuffle.
     """
     long = unpivot_numeric(df, ids, columns).where(F.col("value").isNotNull())
-    binned = long.join(edges, list(edge_keys)).withColumn("bin", _bin_name(bucket_of(F.col("value"), F.col("edges"), n_bins - 1)))
+    binned = long.join(small(edges, edges.count()), list(edge_keys)).withColumn("bin", _bin_name(bucket_of(F.col("value"), F.col("edges"), n_bins - 1)))
     return binned.groupBy(*dict.fromkeys([*edge_keys, *ids, "feature"]), "bin").agg(F.count(F.lit(1)).alias("n"))
 
 

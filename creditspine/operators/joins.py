@@ -124,8 +124,11 @@ def history_means(history: DataFrame, anchors: DataFrame, columns: Sequence[str]
 
 def latest_record(df: DataFrame, key: str = S.CUSTOMER, date: str = S.SNAPSHOT,
                   tie_break: Sequence[str] = (), drop: Sequence[str] = ()) -> DataFrame:
-    """Latest row per key. Spark limits each key to one row before the shuffle."""
-    order = [F.col(date).desc(), *[F.col(c) for c in tie_break]]
+    """Latest row per key; rows still tied go by a hash of the row, whatever the layout.
+
+    Spark limits each key to one row before the shuffle.
+    """
+    order = [F.col(date).desc(), *[F.col(c) for c in tie_break], F.xxhash64(*df.columns)]
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.where(F.col("_rn") == 1).drop("_rn", date, *drop)
 

@@ -11,10 +11,8 @@ size; quantiles and samples only ever rank the values near the wanted ranks.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +22,8 @@ from creditspine.sources.session import cut_lineage
 BUCKETS = 64
 ACCURACY = 10_000
 MAX_GROUPS = 10_000
-COLLECT_LIMIT = 200_000
+#: Fitted tables (brackets, bin edges) up to this size are broadcast, so the data is not shuffled to meet them.
+BROADCAST_ROWS = 100_000
 
 
 def bucket_of(value: Column, edges: Column, n_edges: int) -> Column:
@@ -85,10 +84,20 @@ def running_totals(
     )
 
 
+def _number(c: Column) -> Column:
+    """As a double; NaN counts as missing."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
+def small(table: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if its counted ``rows`` are within BROADCAST_ROWS."""
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
 def unpivot_numeric(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
                     name: str = "feature", value: str = "value") -> DataFrame:
-    """Wide numeric columns to (ids, feature, value) rows, as doubles."""
-    wide = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
+    """Wide numeric columns to (ids, feature, value) rows, as doubles; NaN becomes null."""
+    wide = df.select(*ids, *[_number(F.col(c)).alias(c) for c in columns])
     return wide.unpivot(list(ids), list(columns), name, value)
 
 
@@ -97,7 +106,6 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    collect_limit: int = COLLECT_LIMIT,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles of many columns at once.
 
@@ -109,15 +117,14 @@ def exact_quantiles(
        gaps between brackets as single cells, so that next to nothing is
        shuffled: about ``4 / accuracy`` of the rows per wanted rank.
 
-    The counted cells are ranked on the driver when there are at most
-    ``collect_limit`` of them by the sizes found in step 1, otherwise on the
+    Nulls and NaN are left out. The counted cells are ranked on the
     cluster. The built-in exact percentile would keep all distinct values of a
     group in one task's memory.
     """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     keys = [*by, "feature"]
     rows = df.dropna(subset=by) if by else df
-    brackets, cells = _brackets(rows, columns, probs, by)
+    brackets = _brackets(rows, columns, probs, by)
     schema = _quantile_schema(df, by)
     if brackets is not None and not brackets:
         return df.sparkSession.createDataFrame([], schema)
@@ -138,22 +145,14 @@ def exact_quantiles(
         ((value >= F.col(f"lo{j}")).cast("int") + (value > F.col(f"hi{j}")).cast("int") for j in range(len(probs))), F.lit(0)
     )
     counts = (
-        long.join(table, keys)
+        long.join(small(table, len(brackets)), keys)
         .select(*keys, "value", cell.alias("cell"))
         .withColumn("single", F.col("cell") % 2 == 1)
         .groupBy(*keys, "cell", "single", F.when(F.col("single"), F.col("value")).alias("at"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("value"), F.max("value").alias("top"))
         .drop("cell", "at")
     )
-    if cells > collect_limit:
-        return _rank_on_cluster(counts, keys, probs)
-    groups: dict[tuple, list[tuple]] = {}
-    for r in counts.collect():
-        groups.setdefault(tuple(r[k] for k in keys), []).append((r["value"], r["top"], r["n"], r["single"]))
-    out = [
-        (*key, p, q) for key, group in groups.items() for p, q in _rank_on_driver(sorted(group), probs)
-    ]
-    return df.sparkSession.createDataFrame(out, schema)
+    return _rank_on_cluster(counts, keys, probs)
 
 
 def _quantile_schema(df: DataFrame, by: Sequence[str]) -> str:
@@ -161,20 +160,20 @@ def _quantile_schema(df: DataFrame, by: Sequence[str]) -> str:
     return ", ".join([*[f"`{k}` {types[k]}" for k in by], "feature string", "prob double", "quantile double"])
 
 
-def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> tuple[list | None, int]:
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> list | None:
     """Rows ``(by..., feature, lo0, hi0, lo1, ...)`` of disjoint value spans, one
-    per wanted rank at most, padded with infinity, and the expected number of
-    counted cells; None instead of rows when there are too many groups."""
+    per wanted rank at most, padded with infinity; None when there are
+    too many groups."""
     reach = 2.0 / ACCURACY
     grid = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
     aggs = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
+        x = _number(F.col(c))
         aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, grid, ACCURACY).alias(f"q{i}")]
     found = df.groupBy(*by).agg(*aggs).limit(MAX_GROUPS + 1).collect()
     if len(found) > MAX_GROUPS:
-        return None, 0
-    rows, cells = [], 0
+        return None
+    rows = []
     for r in found:
         for i, c in enumerate(columns):
             n = r[f"n{i}"]
@@ -186,37 +185,13 @@ def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
                     spans[-1][1] = max(spans[-1][1], hi)
                 else:
                     spans.append([lo, hi])
-            cells += min(n, int(4 * n / ACCURACY + 3) * len(probs))
             spans += [[math.inf, math.inf]] * (len(probs) - len(spans))
             rows.append((*[r[k] for k in by], c, *[x for s in spans for x in s]))
-    return rows, cells
-
-
-def _rank_on_driver(cells: Sequence[tuple], probs: Sequence[float]) -> list[tuple[float, float]]:
-    """Quantiles from sorted cells ``(lowest, highest, count, single value?)``."""
-    total = sum(n for _, _, n, _ in cells)
-    starts = list(accumulate((n for _, _, n, _ in cells), initial=0))
-
-    def at(rank: int) -> float:
-        i = bisect_right(starts, rank) - 1
-        low, top, n, single = cells[i]
-        if single or rank == starts[i]:
-            return low
-        if rank == starts[i] + n - 1:
-            return top
-        raise ArithmeticError("wanted rank lies outside its bracket")
-
-    out = []
-    for p in probs:
-        position = (total - 1) * p
-        low = math.floor(position)
-        a, b = at(low), at(math.ceil(position))
-        out.append((p, a + (b - a) * (position - low)))
-    return out
+    return rows
 
 
 def _rank_on_cluster(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """The same from a distributed cell table (value, top, n, single)."""
+    """Quantiles from a distributed cell table (value, top, n, single value?)."""
     ranked = running_totals(counts, keys, "value", ["n"])
 
     def holds(rank: Column) -> Column:

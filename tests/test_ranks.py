@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from creditspine.operators import metrics, projection, ranks, splits
+from creditspine.operators import drift, metrics, projection, ranks, splits
 
 PROBS = [0.0, 0.05, 0.1, 0.25, 0.5, 0.77, 0.9, 0.97, 1.0]
 
@@ -15,13 +15,12 @@ def test_quantiles_of_small_samples(spark):
         assert got == pytest.approx({p: float(np.quantile(v, p)) for p in PROBS})
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_quantiles_with_a_hot_value_and_groups(spark, limit):
+def test_quantiles_with_a_hot_value_and_groups(spark):
     df = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(100003)) / 7).alias("a"),
         F.when(F.col("id") == 0, None).otherwise(F.col("id") % 4).alias("g"), F.lit(None).cast("int").alias("empty"))
     pdf = df.toPandas()
-    got = {(r["g"], r["feature"], r["prob"]): r["quantile"] for r in ranks.exact_quantiles(df, ["a", "empty"], PROBS, ["g"], limit).collect()}
+    got = {(r["g"], r["feature"], r["prob"]): r["quantile"] for r in ranks.exact_quantiles(df, ["a", "empty"], PROBS, ["g"]).collect()}
     want = {(g, "a", p): float(np.quantile(pdf[pdf.g == g].a, p)) for g in range(4) for p in PROBS}
     assert got == pytest.approx(want)
 
@@ -84,3 +83,22 @@ def test_time_windows():
     w = splits.time_windows("2024-07-01", 16, 2)
     assert [str(x) for x in (w.train_start, w.train_end, w.oot_start, w.oot_end)] == ["2023-01-01", "2024-04-30", "2024-05-01", "2024-06-30"]
     assert [(str(a), str(b)) for a, b in w.oot_months] == [("2024-05-01", "2024-05-31"), ("2024-06-01", "2024-06-30")]
+
+
+def test_quantiles_leave_out_nan(spark):
+    rows = [(float(x),) for x in range(1, 11)] + [(float("nan"),)] * 3 + [(None,)]
+    got = ranks.exact_quantiles(spark.createDataFrame(rows, "x double"), ["x"], [0, 0.25, 0.5, 0.9, 1]).orderBy("prob").collect()
+    assert [r["quantile"] for r in got] == pytest.approx([1.0, 3.25, 5.5, 9.1, 10.0])
+
+
+def test_quantiles_do_not_shuffle_rows(spark):
+    """The fitted brackets are broadcast: below the first aggregate nothing is exchanged."""
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(10_000).selectExpr("cast(id as double) x", "cast(id % 7 as double) y")
+        table = spark.createDataFrame([("x", [1.0]), ("y", [2.0])], "feature string, edges array<double>")
+        plan = drift.numeric_bins(df, table, ["x", "y"], n_bins=2)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
