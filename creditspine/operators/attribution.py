@@ -53,23 +53,25 @@ def sampled_attribution(reference: DataFrame, current: DataFrame, model: FittedM
     m = len(features)
     keys = list(keys)
     rows = sample_rows(current, keys, sample, seed).select(
-        F.xxhash64(*keys).alias("row"), F.struct(*features).alias("x")
+        F.xxhash64(*keys).alias("_row"), F.struct(*features).alias("x")
     )
     base = sample_rows(reference, keys, background, seed)
     size = min(background, base.count())
-    numbered = base.agg(F.collect_list(F.struct(*features)).alias("all")).select(F.posexplode("all").alias("b", "z"))
-    draws = rows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(size - 1)))).join(numbered, "b")
+    # numbered in the order of a hash of the row, so the walks don't hang on the layout
+    row = F.struct(F.xxhash64(F.lit(seed), *keys).alias("_h"), *features)
+    numbered = base.agg(F.sort_array(F.collect_list(row)).alias("all")).select(F.posexplode("all").alias("_b", "z"))
+    draws = rows.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(size - 1)))).join(numbered, "_b")
     shuffled = F.array_sort(F.transform(
         F.sequence(F.lit(0), F.lit(m - 1)),
-        lambda j: F.struct(F.xxhash64(F.lit(seed), F.col("row"), F.col("b"), j).alias("h"), j.alias("j")),
+        lambda j: F.struct(F.xxhash64(F.lit(seed), F.col("_row"), F.col("_b"), j).alias("h"), j.alias("j")),
     ))
-    steps = draws.withColumn("order", F.transform(shuffled, lambda s: s["j"])).withColumn(
-        "k", F.explode(F.sequence(F.lit(0), F.lit(m)))
+    steps = draws.withColumn("_order", F.transform(shuffled, lambda s: s["j"])).withColumn(
+        "_k", F.explode(F.sequence(F.lit(0), F.lit(m)))
     )
     mixed = steps.select(
-        "row", "b", "k", "order",
+        "_row", "_b", "_k", "_order",
         *[
-            F.when(F.array_position("order", F.lit(i)) <= F.col("k"), F.col(f"x.{c}")).otherwise(F.col(f"z.{c}")).alias(c)
+            F.when(F.array_position("_order", F.lit(i)) <= F.col("_k"), F.col(f"x.{c}")).otherwise(F.col(f"z.{c}")).alias(c)
             for i, c in enumerate(features)
         ],
     )
@@ -77,12 +79,12 @@ def sampled_attribution(reference: DataFrame, current: DataFrame, model: FittedM
     # the score after step k counts for the feature switched at k and against
     # the feature switched next, so no look-back over steps is needed
     signed = F.array(
-        F.struct(F.get("order", F.col("k") - 1).alias("j"), F.col("score").alias("d")),
-        F.struct(F.get("order", F.col("k")).alias("j"), (-F.col("score")).alias("d")),
+        F.struct(F.get("_order", F.col("_k") - 1).alias("j"), F.col("score").alias("d")),
+        F.struct(F.get("_order", F.col("_k")).alias("j"), (-F.col("score")).alias("d")),
     )
     per_row = (
-        scored.select("row", F.inline(signed)).where(F.col("j").isNotNull())
-        .groupBy("row", "j").agg((F.sum("d") / size).alias("phi"))
+        scored.select("_row", F.inline(signed)).where(F.col("j").isNotNull())
+        .groupBy("_row", "j").agg((F.sum("d") / size).alias("phi"))
     )
     names = F.array(*[F.lit(c) for c in features])
     return per_row.groupBy("j").agg(F.avg(F.abs("phi")).alias("mean_abs_shap")).select(

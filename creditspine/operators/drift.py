@@ -136,7 +136,7 @@ def feature_csi(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
                 run: Sequence[str] = ("snapshot_date",)) -> DataFrame:
     """Stability index of every feature per run: ``(feature, run..., csi)``.
 
-    A feature wholly null on either side has no bins there and gives no row.
+    A feature without any value on either side gives no row.
     """
     run = list(run)
     edges = fit_edges(reference, numeric, N_BINS)
@@ -144,7 +144,9 @@ def feature_csi(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     cur = numeric_bins(current, edges, numeric, run).select("feature", *run, "bin", "n")
     if categorical:
         ref = ref.unionByName(category_bins(reference, categorical))
-        cur = cur.unionByName(category_bins(current, categorical, run))
+        known = usable_features(reference, current, categorical, run).where("usable")
+        named = category_bins(current, categorical, run).join(known, ["feature", *run], "left_semi")
+        cur = cur.unionByName(named.select("feature", *run, "bin", "n"))
     return psi_from_bins(ref, cur, ["feature"], run).withColumnRenamed("psi", "csi")
 
 

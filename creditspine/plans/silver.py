@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from creditspine import schemas as S
 from creditspine.functions import cleaning as C
 from creditspine.functions import ratios as R
-from creditspine.operators.encode import list_counts, list_flags, one_hot
+from creditspine.operators.encode import fit_list_keys, list_counts, list_flags, one_hot
 from creditspine.operators.impute import cap_within
 from creditspine.operators.ledger import add_delinquency
 from creditspine.operators.projection import enforce_types, lower_columns
@@ -155,3 +155,7 @@ def run_silver(spark: SparkSession, mart: Datamart, table: str, start=None, end=
     if end is not None:
         raw = raw.where(F.col(S.SNAPSHOT) <= F.lit(end).cast("date"))
     write_snapshot(SILVER[table](raw), mart.path("silver", table))
+    if table == "financials":
+        # one list of loan types, from all months, so that every month has the same columns
+        keys = fit_list_keys(read_bronze(spark, mart, table, fmt), "Type_of_Loan")
+        write_snapshot(loan_type_table(raw, keys), mart.path("silver", "loan_types"))

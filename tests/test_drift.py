@@ -48,6 +48,15 @@ def test_new_category_and_all_null_column(spark):
     assert usable == {"c": True, "z": False}
 
 
+def test_category_without_values_has_no_csi(spark):
+    schema = "snapshot_date string, c string, z double"
+    ref = spark.createDataFrame([("2024-01-01", "x", 1.0), ("2024-01-01", "y", 2.0)], schema)
+    cur = spark.createDataFrame([("2024-02-01", None, 1.0), ("2024-03-01", "x", 2.0), ("2024-03-01", None, 2.0)], schema)
+    csi = drift.feature_csi(ref, cur, ["z"], ["c"]).select("feature", "snapshot_date").collect()
+    assert {tuple(r) for r in csi} == {("z", "2024-02-01"), ("z", "2024-03-01"), ("c", "2024-03-01")}
+    assert drift.feature_csi(cur.where("c is null"), ref, ["z"], ["c"]).where("feature = 'c'").count() == 0
+
+
 def test_chi_square_tail():
     for x, dof, p in [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (11.344867, 3, 0.01), (18.307038, 10, 0.05)]:
         assert _upper_gamma_share(x, dof) == pytest.approx(p, abs=1e-6)

@@ -44,6 +44,12 @@ def test_datamart_equals_direct_computation(spark, mart):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_loan_types_are_written_with_the_financials(spark, mart):
+    types = read_history(spark, mart.path("silver", "loan_types"))
+    rows = read_history(spark, mart.path("silver", "financials"))
+    assert types.count() == rows.count() > 0 and len(types.columns) > 3
+
+
 def test_null_gate_stops_the_imputed_table(spark, mart):
     with pytest.raises(impute.NullValuesError) as e:
         gold.run_imputed_training(spark, mart)

@@ -1,8 +1,9 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from creditspine.operators import attribution, monitor
+from creditspine.operators import attribution, modelling, monitor
 
 PERF = "label_available boolean, recall double, accuracy double, auc double"
 FEAT = (
@@ -52,3 +53,16 @@ def test_history_and_agreement(spark):
     assert monitor.version_agreement(rows).first()["aligned"] is False
     with pytest.raises(ValueError):
         monitor.require_history(monitor.monitoring_history(rows, ["zz"], "2024-02-15"), ["zz"], "2024-02-15")
+
+
+def test_sampled_attribution_does_not_hang_on_the_layout(spark):
+    rows = spark.range(120).select(
+        F.col("id").cast("string").alias("k"), F.when(F.col("id") % 4 == 0, "val").otherwise("train").alias("split"),
+        (F.col("id") % 7 > 3).cast("int").alias("label"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    model = modelling.fit_families(rows, ["a", "b"], [], {"boosted_trees": [{"trees": 1, "depth": 2, "rate": 0.1}]})["boosted_trees"]
+    got = []
+    for parts in (1, 5):
+        base = rows.repartition(parts)
+        table = attribution.sampled_attribution(base, rows, model, ["k"], sample=6, background=6)
+        got.append({r["feature"]: round(r["mean_abs_shap"], 9) for r in table.collect()})
+    assert got[0] == got[1] and got[0]["a"] > 0
