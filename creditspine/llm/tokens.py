@@ -11,21 +11,32 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: White space of any kind; next to a space or newline it may belong to one token with it.
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-LOOSE = [" " + c for c in SPACES] + ["\n" + c for c in SPACES] + [c + "\n" for c in SPACES]
+
+
+def loose(spaces: str) -> list[str]:
+    return [x for c in spaces for x in (" " + c, "\n" + c, c + "\n")]
+
+
+LOOSE = loose(SPACES)
+LOOSE_ASCII = loose("".join(c for c in SPACES if c.isascii()))
 WORD_START = re.compile(r" (?=\S)")
 ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
+#: Begins a piece of byte-level text that no space goes before.
+BARE = "\x00"
 #: Pieces in each of the two generations that the memory holds.
 GENERATION = 400_000
 #: Longest piece that is remembered, in characters.
 LONGEST = 64
-CLOSING = ".,;:!?"
+CLOSING = string.punctuation
 
 
 def byte_characters() -> dict[int, str]:
@@ -35,6 +46,22 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class Memory(dict):
+    """Ids by piece; a piece that is asked for the first time is learned."""
+
+    def __init__(self, learn: Callable[[str], bytes], old: dict[str, bytes]):
+        super().__init__()
+        self.learn, self.old = learn, old
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.learn(piece)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """``encode_many`` gives the ids of each text as bytes of little-endian unsigned 32-bit numbers."""
 
@@ -44,80 +71,43 @@ class Encoder:
         self.model = self.tokenizer.model
         self.byte_level = "a</w>" not in self.tokenizer.get_vocab()  # else words, lower-cased, without white space
         self.table = byte_characters()
-        self.tails: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.new: dict[str, bytes] = {}
+        self.memory = Memory(self._learn, {})
 
     def _split(self, text: str) -> list[str]:
+        """Pieces; of byte-level text the space before each is left out, and BARE marks those without one."""
         if not self.byte_level:
             return text.split() if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f") else ASCII_SPACE.split(text)
-        if any(x in text for x in LOOSE) or text[:1].isspace() or text[-1:].isspace():
-            parts = WORD_START.split(text)
-            return [parts[0], *[" " + p for p in parts[1:]]]
-        out: list[str] = []
-        for line in text.split("\n"):
-            first, *more = line.split(" ")
-            out.append(first)
-            out += [" " + p for p in more]
-            out.append("\n")
-        out.pop()
-        return out
+        if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in (LOOSE_ASCII if text.isascii() else LOOSE)):
+            return WORD_START.split(BARE + text)
+        return (BARE + text.replace("\n", " \n " + BARE)).split(" ")
 
-    def _word(self, word: str) -> bytes | None:
-        """Ids of a plain word straight from the merge model."""
+    def _learn(self, piece: str) -> bytes:
         space = ""
-        if self.byte_level and word[:1] == " ":
-            space, word = " ", word[1:]
+        if self.byte_level and piece[:1] == BARE:
+            piece = piece[1:]
+        elif self.byte_level and piece != "\n":
+            space = " "
+        core = piece.rstrip(CLOSING)
         # below U+0250 letters are composed and lower-cased one by one
-        if not word.isalpha() or max(word) >= "ɐ" or "İ" in word:
-            return None
-        if not self.byte_level:
-            word = word.lower()
-        word = space + word
+        if len(piece) > LONGEST or not core.isalpha() or not core.isascii() and (max(core) >= "ɐ" or "İ" in core):
+            return self._alone(space + piece)
+        word = space + (core if self.byte_level else core.lower())
         if space or not word.isascii():
             word = word.encode().decode("latin-1").translate(self.table)
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-
-    def _alone(self, pieces: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        got: dict[str, bytes] = {}
-        rest = []
-        for p in pieces:
-            core = p.rstrip(CLOSING)
-            ids = self._word(core) if len(p) <= LONGEST else None
-            if ids is None:
-                rest.append(p)
-            elif core == p:
-                got[p] = ids
-            else:
-                tail = p[len(core):]
-                if tail not in self.tails:
-                    self.tails[tail] = self._alone([tail])[0]
-                got[p] = ids + self.tails[tail]
-        for lo in range(0, len(rest), 2000):
-            got.update(zip(rest[lo:lo + 2000], self._alone(rest[lo:lo + 2000])))
-        return got
+        ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        tail = piece[len(core):]
+        return ids + self.memory[BARE + tail if self.byte_level else tail] if tail else ids
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        parts = [self._split(t) for t in texts]
-        new, old = self.new, self.old
-        found = [[*map(new.get, p)] for p in parts]
-        missing: set[str] = set()
-        for p, ids in zip(parts, found):
-            if None in ids:
-                missing.update(w for w, x in zip(p, ids) if x is None)
-        if missing:
-            got = {w: x for w in missing if (x := old.get(w)) is not None}
-            got |= self._learn([w for w in missing if w not in got])
-            found = [[got[w] if x is None else x for w, x in zip(p, ids)] if None in ids else ids
-                     for p, ids in zip(parts, found)]
-            new.update((p, x) for p, x in got.items() if len(p) <= LONGEST)
-        if len(new) > GENERATION:
-            self.old, self.new = new, {}
-        return [b"".join(ids) for ids in found]
+        get = self.memory.__getitem__
+        # a text that holds the mark itself is not cut
+        out = [self._alone(t) if BARE in t else b"".join(map(get, self._split(t))) for t in texts]
+        if len(self.memory) > GENERATION:
+            self.memory = Memory(self._learn, dict(self.memory))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
