@@ -67,6 +67,15 @@ def unframe(data: bytes | memoryview, at: int) -> tuple[int | None, np.ndarray,
     return None if null else doc_id, ids, at + 5
 
 
+def heading(data: bytes, at: int) -> tuple[int | None, int, int]:
+    """(id, number of tokens, next offset) of the record at an offset, without its ids."""
+    length, check = HEAD.unpack_from(data, at)
+    if masked(data[at:at + 8]) != check:
+        raise ValueError(f"damaged record length at {at}")
+    null, doc_id, _, n = FIELDS.unpack_from(data, at + HEAD.size)
+    return None if null else doc_id, n, at + HEAD.size + length + 5
+
+
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
                   text_col: str = "text", per_file: int = 4096) -> None:
     """Encode every row and write ``folder/data`` and ``folder/index``."""
@@ -85,7 +94,29 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     frames = dealt.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("maxRecordsPerFile", per_file).option("lineSep", "\n").text(f"{folder}/data")
-    parsed(docs.sparkSession, folder, False).select("file", "offset", "length", "id", "n_tokens").write.parquet(f"{folder}/index")
+    # the index needs the lengths alone; whoever reads the records checks them
+    places(docs.sparkSession, folder).write.parquet(f"{folder}/index")
+
+
+def files(spark: SparkSession, folder: str) -> DataFrame:
+    read = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    return read.load(f"{folder}/data").select("path", "content")
+
+
+def places(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, offset, length, id, n_tokens) of every record, from the lengths and fields that head it."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in frames:
+            for path, data in zip(some["path"], some["content"]):
+                rows, at = [], 0
+                while at < len(data):
+                    doc, n, end = heading(data, at)
+                    rows.append((path.rsplit("/", 1)[1], at, end - at, doc, n))
+                    at = end
+                yield _table(rows, PLACE)
+
+    return files(spark, folder).mapInPandas(run, PLACE)
 
 
 def parsed(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
@@ -96,8 +127,8 @@ def parsed(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for files in frames:
-            for path, data in zip(files["path"], files["content"]):
+        for some in frames:
+            for path, data in zip(some["path"], some["content"]):
                 rows, at, before = [], 0, 0
                 while at < len(data):
                     doc, ids, end = unframe(data, at)
@@ -106,20 +137,20 @@ def parsed(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame
                     before += len(ids)
                     at = end
                     if len(rows) == SLICE:
-                        yield _table(rows)
+                        yield _table(rows, RECORD)
                         rows = []
                 if rows:
-                    yield _table(rows)
+                    yield _table(rows, RECORD)
 
-    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-    return files.load(f"{folder}/data").select("path", "content").mapInPandas(run, RECORD)
+    return files(spark, folder).mapInPandas(run, RECORD)
 
 
+PLACE = "file string, offset long, length long, id long, n_tokens long"
 RECORD = "file string, offset long, length long, id long, before long, n_tokens long, ids_crc32 long, ids binary"
 
 
-def _table(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[c.split()[0] for c in RECORD.split(", ")])
+def _table(rows: list[tuple], schema: str) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
     out["id"] = out["id"].astype("Int64")
     return out
 
@@ -129,8 +160,8 @@ def read_records(spark: SparkSession, folder: str, id_col: str = "doc_id", with_
     index = spark.read.parquet(f"{folder}/index")
     # one row per file: its name sorts it among the files
     ahead = F.coalesce(F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = index.groupBy("file").agg(F.sum("n_tokens").alias("tokens")).select("file", ahead.alias("ahead"))
-    rows = parsed(spark, folder, with_ids).join(F.broadcast(files) if files.count() <= 100_000 else files, "file")
+    starts = index.groupBy("file").agg(F.sum("n_tokens").alias("tokens")).select("file", ahead.alias("ahead"))
+    rows = parsed(spark, folder, with_ids).join(F.broadcast(starts) if starts.count() <= 100_000 else starts, "file")
     return rows.select(F.col("id").alias(id_col), (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "ids")
 
 
