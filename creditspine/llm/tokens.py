@@ -20,14 +20,6 @@ from tokenizers import Tokenizer
 
 #: White space of any kind; next to a space or newline it may belong to one token with it.
 SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-
-
-def loose(spaces: str) -> list[str]:
-    return [x for c in spaces for x in (" " + c, "\n" + c, c + "\n")]
-
-
-LOOSE = loose(SPACES)
-LOOSE_ASCII = loose("".join(c for c in SPACES if c.isascii()))
 WORD_START = re.compile(r" (?=\S)")
 ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
 #: Begins a piece of byte-level text that no space goes before.
@@ -46,6 +38,18 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def loose(text: str) -> bool:
+    """White space at an end, or any next to a space or newline."""
+    # which kinds occur is quick to tell; most texts have two
+    return text[:1].isspace() or text[-1:].isspace() or any(
+        " " + c in text or "\n" + c in text or c + "\n" in text for c in SPACES if c in text)
+
+
+def plain(word: str) -> bool:
+    """A word whose letters are composed and lower-cased one by one, as all below U+0250 but one."""
+    return word.isalpha() and (word.isascii() or max(word) < "ɐ" and "İ" not in word)
+
+
 class Memory(dict):
     """Ids by piece; a piece that is asked for the first time is learned."""
 
@@ -77,26 +81,25 @@ class Encoder:
         """Pieces; of byte-level text the space before each is left out, and BARE marks those without one."""
         if not self.byte_level:
             return text.split() if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f") else ASCII_SPACE.split(text)
-        if text[:1].isspace() or text[-1:].isspace() or any(x in text for x in (LOOSE_ASCII if text.isascii() else LOOSE)):
+        if loose(text):
             return WORD_START.split(BARE + text)
         return (BARE + text.replace("\n", " \n " + BARE)).split(" ")
 
     def _learn(self, piece: str) -> bytes:
-        space = ""
-        if self.byte_level and piece[:1] == BARE:
-            piece = piece[1:]
-        elif self.byte_level and piece != "\n":
-            space = " "
-        core = piece.rstrip(CLOSING)
-        # below U+0250 letters are composed and lower-cased one by one
-        if len(piece) > LONGEST or not core.isalpha() or not core.isascii() and (max(core) >= "ɐ" or "İ" in core):
-            return self._alone(space + piece)
-        word = space + (core if self.byte_level else core.lower())
+        bare = self.byte_level and piece[:1] == BARE
+        space = " " if self.byte_level and not bare and piece != "\n" else ""
+        text = piece[1:] if bare else piece
+        core = text.rstrip(CLOSING) if len(piece) <= LONGEST else ""
+        if not plain(core):
+            return self._alone(space + text)
+        if core != text:
+            # the closing punctuation is a piece of its own
+            n = len(core) - len(text)
+            return self.memory[piece[:n]] + self.memory[BARE + text[n:] if self.byte_level else text[n:]]
+        word = space + (text if self.byte_level else text.lower())
         if space or not word.isascii():
             word = word.encode().decode("latin-1").translate(self.table)
-        ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        tail = piece[len(core):]
-        return ids + self.memory[BARE + tail if self.byte_level else tail] if tail else ids
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
