@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -13,7 +14,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from checks.compare import differences, oracle_connection
-from creditspine.llm import oracles, queries, secret_scan
+from creditspine.llm import oracles, queries, secret_scan, tokens
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -186,3 +187,15 @@ def test_pipeline(spark, docs):
     for r in rows:
         fills[r["sequence_id"]] = fills.get(r["sequence_id"], 0) + r["length"]
     assert max(fills.values()) <= 4096
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_odd_texts_are_the_tokenizers(name):
+    rng = random.Random(7)
+    letters = "ab Z\n\t\x00\x1c'.,!<|>_é ñİǅ１3\xa0　́ßΣ日😀\r$&-"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["", "\x00", "\n", " a", "a ", "a\n\nb", "it's don't x'", "word, Word. word!!", "<|endoftext|> a<|endoftext|>.", "é" * 100 + "."]
+    whole = Tokenizer.from_file(public_tokenizers.path(name)).encode_batch(texts, add_special_tokens=False)
+    encoder = tokens.Encoder(public_tokenizers.path(name))
+    for _ in range(2):  # the second time from memory
+        assert encoder.encode_many(texts) == [np.array(w.ids, dtype="<u4").tobytes() for w in whole]
