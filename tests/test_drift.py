@@ -96,3 +96,17 @@ def test_rare_groups_count_nulls_and_vocabulary_is_bounded(spark):
     assert common == ["a"] and out == {"a", "Unknown", "Other"}
     with pytest.raises(ValueError):
         encode.fit_vocabulary(spark.range(50).select(F.col("id").cast("string").alias("o")), "o", limit=10)
+
+
+def test_ks_of_several_runs_matches_a_plain_count(spark):
+    rng = np.random.default_rng(3)
+    ref = [float(x) for x in rng.integers(0, 40, 300)]
+    runs = {"2024-01-01": [float(x) for x in rng.integers(10, 60, 80)], "2024-02-01": [-5.0, -5.0, 100.0], "2024-03-01": [7.0] * 50}
+    reference = spark.createDataFrame([(x,) for x in ref] + [(float("nan"),), (None,)], "x double")
+    current = spark.createDataFrame([(d, x) for d, xs in runs.items() for x in xs], "snapshot_date string, x double")
+    got = {r["snapshot_date"]: r["statistic"] for r in drift.ks_numeric(reference, current, ["x"]).collect()}
+    every = np.array(sorted({*ref, *(x for xs in runs.values() for x in xs)}))
+    share = lambda xs: (np.array(xs)[None, :] <= every[:, None]).mean(axis=1)
+    assert set(got) == set(runs)
+    for d, xs in runs.items():
+        assert abs(got[d] - np.abs(share(ref) - share(xs)).max()) < 1e-12
