@@ -1,11 +1,16 @@
 """Secret scan with DataFrame functions only.
 
 Three patterns give base spans. The method adds spans by entropy: a candidate
-is a run of token characters; a window of its class slides over it, and the
-Shannon entropy of the window, H = log2(w) - sum(c * log2(c)) / w, follows from
-counts of which only the entering and the leaving character change. The span
-reaches from the first to the last window with enough entropy. Candidates on the
-allow list (plain words, numbers, UUIDs, listed strings) are left out.
+is a run of token characters; each class is run over its own maximal runs inside
+the candidate, so hex glued to other characters (``AUTH=9F86...``) is judged as
+hex. A window of the class slides over the run, and the Shannon entropy of the
+window, H = log2(w) - sum(c * log2(c)) / w, follows from counts of which only the
+entering and the leaving character change. The span reaches from the first to the
+last window with enough entropy. Candidates and runs on the allow list (plain
+words, numbers, UUIDs, listed strings) are left out.
+
+Base64 runs of 16 to 19 characters have a window and bits of their own, fitted to
+them: 89 % of random base64 windows of 16 reach 3.6, as 83 % of 20 reach 3.9.
 
 Positions are code points: the pieces between matches and the matches alternate,
 so running lengths place them.
@@ -32,7 +37,7 @@ ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 12, 18, 16
 
 @dataclass(frozen=True)
 class EntropyClass:
-    """Characters, window and bits; a candidate belongs to the first class it is made of."""
+    """Characters, window and bits; a run belongs to the first class it is made of and long enough for."""
 
     kind: str
     pattern: str
@@ -42,10 +47,11 @@ class EntropyClass:
     fold: bool = False
 
 
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 CLASSES = (
     EntropyClass("entropy_hex", "[0-9A-Fa-f]+", "0123456789abcdef", 16, 2.9, True),
-    EntropyClass("entropy_base64", "[A-Za-z0-9+/=_-]+",
-                 "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 20, 3.9),
+    EntropyClass("entropy_base64", "[A-Za-z0-9+/=_-]+", BASE64, 20, 3.9),
+    EntropyClass("entropy_base64", "[A-Za-z0-9+/=_-]+", BASE64, 16, 3.6),
 )
 CANDIDATE = "[A-Za-z0-9+/=_-]{16,}"
 ALLOWED_PATTERNS = (
@@ -137,14 +143,21 @@ def hot_windows(word: Column, c: EntropyClass) -> Column:
                        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
-def _belongs(c: EntropyClass, before: tuple[EntropyClass, ...]):
-    """Test of a match: long enough, made of this class and of none before it."""
-    def test(m: Column) -> Column:
-        here = m["match"].rlike(f"^{c.pattern}$") & (F.length(m["match"]) >= c.window)
-        for d in before:
-            here = here & ~m["match"].rlike(f"^{d.pattern}$")
-        return here
-    return test
+def _runs(c: EntropyClass, before: tuple[EntropyClass, ...], suppressed: str, allowed):
+    """From a candidate to its maximal runs of this class: long enough, not allowed and of no class before it."""
+    pattern = f"{c.pattern.removesuffix('+')}{{{c.window},}}"
+
+    def runs(m: Column) -> Column:
+        found = F.transform(_located(m["match"], pattern), lambda r: F.struct((m["at"] + r["at"]).alias("at"), r["match"].alias("match")))
+
+        def kept(r: Column) -> Column:
+            here = ~r["match"].rlike(suppressed) & ~r["match"].isin(*allowed)
+            for d in before:
+                here = here & ~(r["match"].rlike(f"^{d.pattern}$") & (F.length(r["match"]) >= d.window))
+            return here
+
+        return F.filter(found, kept)
+    return runs
 
 
 def _hot_spans(c: EntropyClass, kind: int):
@@ -161,7 +174,8 @@ def entropy_spans(text: Column, classes=CLASSES, allowed=ALLOWED, allowed_patter
     words = F.filter(_located(text, CANDIDATE), lambda m: ~m["match"].rlike(suppressed) & ~m["match"].isin(*allowed))
     found = []
     for k, c in enumerate(classes):
-        found.append(F.flatten(F.transform(F.filter(words, _belongs(c, classes[:k])), _hot_spans(c, first_kind + k))))
+        runs = F.flatten(F.transform(words, _runs(c, classes[:k], suppressed, allowed)))
+        found.append(F.flatten(F.transform(runs, _hot_spans(c, first_kind + k))))
     return F.when(text.rlike(CANDIDATE), F.concat(*found)).otherwise(_no_spans())
 
 

@@ -54,6 +54,21 @@ def test_secret_allow_list(some):
     assert [words[s["start"]:s["end"]] for s in spans] == ["q9Zx7Lw2Kd8Vb4Nm6Tt1Rr3Y"]
 
 
+def test_secret_runs_inside_a_candidate(some):
+    hexes = ["9F86D081884C7D659A2FEAA0C55AD015", "9f86D081884c7D659a2FeaA0c55Ad015"]
+    for digits in hexes:
+        for text in (f"AUTH={digits}", f"sha1-{digits}", f"x/{digits}", digits):
+            one = some.limit(1).withColumn("text", F.lit(f"see {text} here"))
+            spans = [s for s in secret_scan.scan_secrets(one).first()["added"] if s["kind"] == secret_scan.KINDS.index("entropy_hex")]
+            assert [f"see {text} here"[s["start"]:s["end"]] for s in spans] == [digits]
+
+
+def test_secret_short_candidates(some):
+    text = "see q9Zx7Lw2Kd8Vb4Nm here, order=2024010112345678 and id=123e4567-e89b-12d3-a456-426614174000"
+    spans = secret_scan.scan_secrets(some.limit(1).withColumn("text", F.lit(text))).first()["added"]
+    assert [text[s["start"]:s["end"]] for s in spans] == ["q9Zx7Lw2Kd8Vb4Nm"]
+
+
 def test_lines(some, none):
     assert lines.drop_common_lines(none).count() == 0
     out = lines.drop_common_lines(some, min_docs=4)
