@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from checks import queries_jobs, queries_models, queries_tables  # noqa: F401
+from checks import queries_jobs, queries_models, queries_months, queries_tables  # noqa: F401
 from checks.registry import QUERIES  # noqa: F401

@@ -33,7 +33,12 @@ def reference(t):
 
 def current(t):
     """Feature rows of the monitored months."""
-    return projection.between_dates(t.stored("features"), O.RUN_START, O.RUN_END)
+    return projection.between_dates(t.stored("features"), O.RUN_START, t.run_end)
+
+
+def every_month(t):
+    """Feature rows of all months from the train date on."""
+    return projection.between_dates(t.stored("features"), O.RUN_START, None)
 
 
 # --- encoding -------------------------------------------------------------------------
@@ -360,18 +365,18 @@ def _(t):
 @query("attribution_linear", "snapshot_date:d feature:s mean_abs_shap:f")
 def _(t):
     model, split = fitted(t, "logistic_regression")
-    return attribution.linear_attribution(split.where("split = 'train'"), current(t), model, ["snapshot_date"])
+    return attribution.linear_attribution(split.where("split = 'train'"), every_month(t), model, ["snapshot_date"])
 
 
 @query("attribution_sampled", "feature:s mean_abs_shap:f")
 def _(t):
     model, split = fitted(t, "boosted_trees")
-    return attribution.sampled_attribution(split.where("split = 'train'"), current(t), model, S.KEYS, sample=40, background=20)
+    return attribution.sampled_attribution(split.where("split = 'train'"), every_month(t), model, S.KEYS, sample=40, background=20)
 
 
 # --- drift and monitoring ------------------------------------------------------------------------
 def prediction_runs(t):
-    return projection.between_dates(t.stored("predictions"), O.RUN_START, O.RUN_END)
+    return projection.between_dates(t.stored("predictions"), O.RUN_START, t.run_end)
 
 
 def reference_scores(t):

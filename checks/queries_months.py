@@ -1,0 +1,41 @@
+"""Monitoring queries over every month from the train date on.
+
+The queries they extend keep their statements, which stop at the fourth
+monitored month; here both sides go on to the last month of the history. Later
+months may hold no value of a category at all; as in the reference such a category
+has no stability index in that month, a rule that the shorter statements lack.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from checks import oracles as O
+from checks import queries_jobs, queries_models  # noqa: F401
+from checks.registry import QUERIES, Query
+from checks.testbed import EveryMonth
+
+NAMES = (
+    "missing_by_group", "psi_scores", "csi_features", "csi_summary", "ks_numeric", "chi2_drift", "min_pvalue",
+    "usable_columns", "monitoring_rows", "feature_alerts", "version_agreement_on_scores",
+)
+BOUNDED = f"BETWEEN DATE '{O.RUN_START}' AND DATE '{O.RUN_END}'"
+CELLS = "AS q FROM cur_bins"
+WITH_VALUES = " QUALIFY NOT bool_and(bin = 'Unknown') OVER (PARTITION BY feature, snapshot_date)"
+
+
+@dataclass(frozen=True)
+class EveryMonthQuery(Query):
+    """A query whose statement has no last monitored month."""
+
+    def oracle(self) -> str:
+        bounded = super().oracle()
+        if BOUNDED not in bounded:
+            raise ValueError("the statement has no monitored months")
+        return bounded.replace(BOUNDED, f">= DATE '{O.RUN_START}'").replace(CELLS, CELLS + WITH_VALUES)
+
+
+for _name in NAMES:
+    _query = QUERIES[_name]
+    QUERIES[f"{_name}_every_month"] = EveryMonthQuery(
+        lambda t, run=_query.run: run(EveryMonth(t.spark, t.folder)), _query.columns, _query.sql)
