@@ -325,22 +325,13 @@ query("scoring_metadata", "snapshot_date:d model_name:s model_version:s n_scored
     "FROM preds GROUP BY ALL"
 ))(lambda t: modelling.scoring_metadata(t.predictions()))
 
-# small grids: the learners are Spark's own, the queries show the wiring
-SMALL_GRIDS = {
-    "logistic_regression": [{"C": 0.1}, {"C": 1.0}],
-    "boosted_trees": [{"trees": 5, "depth": 3, "rate": 0.1}],
-}
-
 
 def fitted(t, family: str):
-    """Model of one family on the training windows, plus the tagged rows."""
-    table = t.stored("training").select(
-        *S.ID_COLS, "label", "label_def", "Age", "Occupation", "Age_group", "Annual_Income", "Credit_Mix_Label",
-        "Num_of_Loan", "Credit_History_Months", "debt_to_income", "fe_1",
-    )
+    """Best candidate of one family's grid on the training windows, plus the tagged rows."""
+    table = t.stored("training")
+    numeric, categorical = projection.feature_columns(table, [*S.ID_COLS, *S.LABEL_COLS], S.CATEGORICAL_COLS)
     split = training_plan.tag_splits(table, WINDOWS)
-    numeric = ["Age", "Annual_Income", "Credit_Mix_Label", "Num_of_Loan", "Credit_History_Months", "debt_to_income", "fe_1"]
-    model = modelling.fit_families(split, numeric, S.CATEGORICAL_COLS, {family: SMALL_GRIDS[family]})[family]
+    model = modelling.fit_families(split, numeric, categorical, {family: modelling.FAMILIES[family][1]})[family]
     model.version = family
     return model, split
 
@@ -371,7 +362,7 @@ def _(t):
 @query("attribution_sampled", "feature:s mean_abs_shap:f")
 def _(t):
     model, split = fitted(t, "boosted_trees")
-    return attribution.sampled_attribution(split.where("split = 'train'"), every_month(t), model, S.KEYS, sample=40, background=20)
+    return attribution.sampled_attribution(split.where("split = 'train'"), every_month(t), model, S.KEYS)
 
 
 # --- drift and monitoring ------------------------------------------------------------------------
