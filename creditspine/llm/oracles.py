@@ -107,9 +107,78 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN d
 FROM drawn
 """
 
+FILTER_AUDIT = """
+WITH doc AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+low AS (SELECT t, min(doc_id) AS first FROM doc GROUP BY t),
+word AS (
+  SELECT doc.*, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws, coalesce(doc_id > first, false) AS copy FROM doc JOIN low USING (t)
+), label AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+  SELECT part, CAST(len(ws) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(ws)) < 50 * len(ws) AS INTEGER)
+    + 4 * CAST(100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) AS INTEGER)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER) + 16 * CAST(copy AS INTEGER) AS mask, good, toxic
+  FROM word LEFT JOIN label USING (doc_id)
+), combo AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM failed GROUP BY part, mask
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit),
+ordered AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), stepped AS (
+  SELECT filter_order, step, bits[step] AS f, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM ordered, (SELECT unnest(range(1, 6)) AS step)
+), counted AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (WHERE mask & (f | before) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (WHERE mask & f > 0 AND mask & before = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE mask & f > 0 AND mask & before > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE mask = f), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE mask & f > 0 AND mask & before = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE mask & f > 0 AND mask & before = 0), 0) AS toxic_lost
+  FROM combo, stepped GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+COLLOCATIONS = f"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {UPPER}, {LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents)
+), sized AS (SELECT lang, ws, unnest([1, 2, 3, 4]) AS m FROM piece),
+gram AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM sized WHERE len(ws) >= m)
+), total AS (SELECT lang, count(*) AS n FROM gram WHERE m = 1 GROUP BY lang),
+often AS (SELECT lang, m, phrase, count(*) AS f FROM gram GROUP BY lang, m, phrase HAVING count(*) >= 30),
+candidate AS (SELECT *, string_split(phrase, ' ') AS ws FROM often WHERE m > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.f // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate) c
+  JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:k], ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1:], ' ')
+), lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[s:s + j - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, m - j + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS j FROM candidate WHERE m > 2))
+  GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM lowest b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE NOT coalesce(100 * longer >= 80 * a, false)
+)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept k JOIN total t ON t.lang = k.lang QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op3_embedding_dedup": EMBEDDING_DEDUP,
     "op4_line_dedup": LINE_DEDUP,
     "op5_url_filter": URL_FILTER,
     "op7_source_mixing": SOURCE_MIXING,
+    "op11_filter_audit": FILTER_AUDIT,
+    "op12_phrase_collocations": COLLOCATIONS,
 }

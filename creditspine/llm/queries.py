@@ -1,4 +1,4 @@
-"""The ten registered queries: each applies an operator to its whole table."""
+"""The registered queries: each applies an operator to its whole table."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditspine.llm import embeddings, language, lines, mixing, neighbours, packing, records, secret_scan, simhash, urls
+from creditspine.llm import (
+    collocations, embeddings, filter_audit, harmonic, language, lines, mixing, neighbours, packing, records, secret_scan, simhash, urls,
+)
 from creditspine.llm.common import read
 from creditspine.sources.session import checkpoint_root, tune
 
@@ -76,7 +78,21 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(tune(spark), sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(tune(spark), sf_dir, "documents"), longest=4, least=30, share=80, top=2000)
+
+
+def op13_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(tune(spark), sf_dir, "documents")
+    return packing.with_checksum(harmonic.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_secret_scan, op3_embedding_dedup, op4_line_dedup, op5_url_filter, op6_best_fit_packing,
     op7_source_mixing, op8_language_id, op9_token_records, op10_simhash_dedup,
+    op11_filter_audit, op12_phrase_collocations, op13_harmonic_packing,
 )}
