@@ -113,7 +113,7 @@ def p_ks(d: str, a: str, b: str) -> str:
 DECILES = "[" + ", ".join(str(i / 10) for i in range(1, 10)) + "]"
 DRIFT_NUMERIC = ["Age", *S.FINANCIALS_COLS, *S.CLICKSTREAM_COLS]
 DRIFT_CATEGORIES = ["Occupation", "Age_group"]
-RUN_START, RUN_END = "1996-01-01", "1996-04-01"
+RUN_START = "1996-01-01"
 
 
 def eps(x: str) -> str:
@@ -250,7 +250,7 @@ CTES: dict[str, str] = {
     ),
     # --- drift ------------------------------------------------------------------
     "ref": "SELECT * FROM features WHERE snapshot_date BETWEEN DATE '1995-01-01' AND DATE '1995-10-01'",
-    "cur": f"SELECT * FROM features WHERE snapshot_date BETWEEN DATE '{RUN_START}' AND DATE '{RUN_END}'",
+    "cur": f"SELECT * FROM features WHERE snapshot_date >= DATE '{RUN_START}'",
     "ref_long": f"SELECT * FROM ({long('ref', [], DRIFT_NUMERIC)}) WHERE value IS NOT NULL",
     "cur_long": f"SELECT * FROM ({long('cur', ['snapshot_date'], DRIFT_NUMERIC)}) WHERE value IS NOT NULL",
     "edges": f"SELECT feature, quantile_cont(value, {DECILES}) AS e FROM ref_long GROUP BY feature",
@@ -265,7 +265,8 @@ CTES: dict[str, str] = {
         f"SELECT feature, snapshot_date, coalesce(value, 'Unknown'), count(*) FROM ({long('cur', ['snapshot_date'], DRIFT_CATEGORIES, cast='VARCHAR')}) GROUP BY ALL"
     ),
     "ref_share": "SELECT feature, bin, n / sum(n) OVER (PARTITION BY feature) AS p FROM ref_bins",
-    "cur_share": "SELECT feature, snapshot_date, bin, n / sum(n) OVER (PARTITION BY feature, snapshot_date) AS q FROM cur_bins",
+    "cur_share": "SELECT feature, snapshot_date, bin, n / sum(n) OVER (PARTITION BY feature, snapshot_date) AS q FROM cur_bins "
+                 "QUALIFY NOT bool_and(bin = 'Unknown') OVER (PARTITION BY feature, snapshot_date)",
     "csi_cells": (
         "SELECT coalesce(x.feature, c.feature) AS feature, coalesce(x.snapshot_date, c.snapshot_date) AS snapshot_date, p, q FROM "
         "(SELECT r.feature, d.snapshot_date, r.bin, r.p FROM ref_share r JOIN (SELECT DISTINCT feature, snapshot_date FROM cur_share) d USING (feature)) x "
@@ -303,7 +304,7 @@ CTES: dict[str, str] = {
     ),
     "chi": f"SELECT feature, snapshot_date, statistic, dof, {p_chi('statistic', 'dof')} AS p_value FROM chi0",
     "score_ref": "SELECT model_version, model_predictions AS v FROM preds WHERE snapshot_date BETWEEN DATE '1995-01-01' AND DATE '1995-10-01' AND model_predictions IS NOT NULL",
-    "score_cur": f"SELECT model_version, snapshot_date, model_predictions AS v FROM preds WHERE snapshot_date BETWEEN DATE '{RUN_START}' AND DATE '{RUN_END}' AND model_predictions IS NOT NULL",
+    "score_cur": f"SELECT model_version, snapshot_date, model_predictions AS v FROM preds WHERE snapshot_date >= DATE '{RUN_START}' AND model_predictions IS NOT NULL",
     "score_edges": f"SELECT model_version, quantile_cont(v, {DECILES}) AS e FROM score_ref GROUP BY ALL",
     "score_p": (
         "SELECT model_version, bin, n / sum(n) OVER (PARTITION BY model_version) AS p FROM (SELECT s.model_version, "
@@ -326,7 +327,7 @@ CTES: dict[str, str] = {
     "scoring": (
         "SELECT snapshot_date, model_name, model_version, count(*) AS n_scored, "
         "avg(CASE WHEN model_predictions IS NULL THEN 1.0 ELSE 0.0 END) AS error_rate "
-        f"FROM preds WHERE snapshot_date BETWEEN DATE '{RUN_START}' AND DATE '{RUN_END}' GROUP BY ALL"
+        f"FROM preds WHERE snapshot_date >= DATE '{RUN_START}' GROUP BY ALL"
     ),
     "pmin": "SELECT snapshot_date, min(p_value) AS min_csi_pvalue FROM (SELECT snapshot_date, p_value FROM ks UNION ALL SELECT snapshot_date, p_value FROM chi) GROUP BY ALL",
     "csi_sum": "SELECT snapshot_date, max(csi) AS max_csi, avg(csi) AS mean_csi FROM csi GROUP BY ALL",

@@ -165,4 +165,4 @@ query("version_agreement_on_scores", "aligned:b", (
     "(SELECT min(psi_score) AS lo, max(psi_score) AS hi FROM psi GROUP BY snapshot_date)"
 ))(lambda t: monitor.version_agreement(drift.prediction_psi(
     projection.between_dates(t.stored("predictions"), *REF_RANGE),
-    projection.between_dates(t.stored("predictions"), O.RUN_START, t.run_end)), "psi_score"))
+    projection.between_dates(t.stored("predictions"), O.RUN_START, None)), "psi_score"))

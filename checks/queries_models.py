@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from checks import oracles as O
@@ -13,9 +14,11 @@ from checks.registry import query
 from creditspine import schemas as S
 from creditspine.functions import cleaning as C
 from creditspine.operators import (
-    attribution, drift, encode, impute, metrics, modelling, monitor, profile, projection, ranks, splits,
+    attribution, drift, encode, impute, metrics, modelling, monitor, profile, projection, ranks, scorers, splits,
 )
 from creditspine.plans import training as training_plan
+from creditspine.sources import models
+from creditspine.sources.session import scratch
 
 FIN_NUMERIC = [
     "Annual_Income", "Monthly_Inhand_Salary", "Outstanding_Debt", "Monthly_Balance", "Amount_invested_monthly",
@@ -31,11 +34,6 @@ def reference(t):
     return projection.between_dates(t.stored("features"), *REF_RANGE)
 
 
-def current(t):
-    """Feature rows of the monitored months."""
-    return projection.between_dates(t.stored("features"), O.RUN_START, t.run_end)
-
-
 def every_month(t):
     """Feature rows of all months from the train date on."""
     return projection.between_dates(t.stored("features"), O.RUN_START, None)
@@ -140,7 +138,7 @@ query("null_counts", "_rows:i _null_rows:i Age:i Occupation:i", (
 query("missing_percent", "missing_pct:f", "SELECT avg(CASE WHEN Annual_Income IS NULL THEN 100.0 ELSE 0 END) AS missing_pct FROM fin")(
     lambda t: profile.missing_percent(t.financials(), "Annual_Income"))
 query("missing_by_group", "snapshot_date:d pct_missing_attributes:f pct_missing_financials:f pct_missing_clickstream:f", "SELECT * FROM missing")(
-    lambda t: profile.missing_by_group(current(t), S.FEATURE_SOURCES, ["snapshot_date"]))
+    lambda t: profile.missing_by_group(every_month(t), S.FEATURE_SOURCES, ["snapshot_date"]))
 query("group_counts", "Occupation:s label:i count:i", "SELECT Occupation, label, count(*) AS count FROM training GROUP BY ALL")(
     lambda t: profile.group_count(t.training(), "Occupation", "label"))
 query("contingency", "Age_group:s label_0:i label_1:i", (
@@ -326,14 +324,25 @@ query("scoring_metadata", "snapshot_date:d model_name:s model_version:s n_scored
 ))(lambda t: modelling.scoring_metadata(t.predictions()))
 
 
+_BANKS: dict[tuple[str, str, str], str] = {}
+
+
 def fitted(t, family: str):
-    """Best candidate of one family's grid on the training windows, plus the tagged rows."""
+    """Best candidate of one family's grid on the training windows, plus the tagged rows.
+
+    A grid is fitted once a session: the model is saved, and every query loads it.
+    """
     table = t.stored("training")
-    numeric, categorical = projection.feature_columns(table, [*S.ID_COLS, *S.LABEL_COLS], S.CATEGORICAL_COLS)
     split = training_plan.tag_splits(table, WINDOWS)
-    model = modelling.fit_families(split, numeric, categorical, {family: modelling.FAMILIES[family][1]})[family]
-    model.version = family
-    return model, split
+    key = (t.spark.sparkContext.applicationId, t.folder, family)
+    if key not in _BANKS:
+        numeric, categorical = projection.feature_columns(table, [*S.ID_COLS, *S.LABEL_COLS], S.CATEGORICAL_COLS)
+        model = modelling.fit_families(split, numeric, categorical, {family: modelling.FAMILIES[family][1]})[family]
+        model.version = family
+        bank = scratch(t.spark, "bank")
+        models.save_model(t.spark, model, bank)
+        _BANKS[key] = bank
+    return models.load_model(t.spark, _BANKS[key], family), split
 
 
 def fit_report(t, family: str):
@@ -359,15 +368,87 @@ def _(t):
     return attribution.linear_attribution(split.where("split = 'train'"), every_month(t), model, ["snapshot_date"])
 
 
-@query("attribution_sampled", "feature:s mean_abs_shap:f")
-def _(t):
-    model, split = fitted(t, "boosted_trees")
-    return attribution.sampled_attribution(split.where("split = 'train'"), every_month(t), model, S.KEYS)
+def sampled(t, family: str):
+    model, split = fitted(t, family)
+    return attribution.sampled_attribution(split.where("split = 'train'"), every_month(t), model, S.KEYS, ["snapshot_date"])
+
+
+_month_kinds = "snapshot_date:d feature:s mean_abs_shap:f"
+query("attribution_sampled", _month_kinds)(lambda t: sampled(t, "boosted_trees"))
+query("attribution_sampled_linear", _month_kinds)(lambda t: sampled(t, "logistic_regression"))
+
+# --- attribution of given models, whose Shapley values SQL can tell from all coalitions ----------
+EXACT_FEATURES = {"Age": 40.0, "Interest_Rate": 12.0, "fe_1": 3.0, "Num_Bank_Accounts": 5.0}  # with the value of a missing one
+BACKGROUND = 50
+#: Two trees: (feature, threshold, left, right, value), and a linear model over the same features.
+GIVEN_TREES = [
+    [(1, 15.0, 1, 2, 0.0), (0, 42.0, 3, 4, 0.0), (2, 2.0, 5, 6, 0.0), (-1, 0, 0, 0, -0.9), (-1, 0, 0, 0, 0.2), (-1, 0, 0, 0, 0.4), (-1, 0, 0, 0, 1.1)],
+    [(3, 6.0, 1, 2, 0.0), (-1, 0, 0, 0, -0.3), (1, 22.0, 3, 4, 0.0), (-1, 0, 0, 0, 0.1), (-1, 0, 0, 0, 0.8)],
+]
+GIVEN_WEIGHTS = [1.0, 0.5]
+GIVEN_LINEAR = ([0.02, 0.05, -0.1, 0.15], -1.5)
+GIVEN = {
+    "A": scorers.forest(GIVEN_TREES, GIVEN_WEIGHTS),
+    "B": scorers.LinearScorer(np.array(GIVEN_LINEAR[0]), GIVEN_LINEAR[1]),
+}
+
+
+def _tree_sql(nodes, at=0) -> str:
+    f, threshold, left, right, value = nodes[at]
+    if f < 0:
+        return str(value)
+    return f"CASE WHEN v{f} <= {threshold} THEN {_tree_sql(nodes, left)} ELSE {_tree_sql(nodes, right)} END"
+
+
+_margins = {
+    "A": "2 * (" + " + ".join(f"{w} * ({_tree_sql(tree)})" for tree, w in zip(GIVEN_TREES, GIVEN_WEIGHTS)) + ")",
+    "B": " + ".join(f"{w} * v{k}" for k, w in enumerate(GIVEN_LINEAR[0])) + f" + {GIVEN_LINEAR[1]}",
+}
+_given = ", ".join(f"CAST(coalesce({c}, {v}) AS DOUBLE) AS x{k}" for k, (c, v) in enumerate(EXACT_FEATURES.items()))
+O.CTES["given_cur"] = f"SELECT Customer_ID, snapshot_date, {_given} FROM cur"
+O.CTES["given_ref"] = (
+    f"SELECT {_given.replace(' AS x', ' AS z')} FROM (SELECT * FROM ref ORDER BY snapshot_date, Customer_ID LIMIT {BACKGROUND})"
+)
+O.CTES["coalitions"] = (
+    "SELECT Customer_ID, snapshot_date, mask, " + ", ".join(f"CASE WHEN mask & {1 << k} > 0 THEN x{k} ELSE z{k} END AS v{k}" for k in range(4))
+    + " FROM given_cur CROSS JOIN given_ref CROSS JOIN (SELECT unnest(range(16)) AS mask)"
+)
+O.CTES["coalition_scores"] = "SELECT snapshot_date, Customer_ID, mask, " + ", ".join(
+    f"avg(1 / (1 + exp(-({m})))) AS s_{v}" for v, m in _margins.items()) + " FROM coalitions GROUP BY ALL"
+# a coalition of s features with the feature weighs (s - 1)! (4 - s)! / 4!, one of s without it -s! (3 - s)! / 4!
+_weight = "CASE WHEN mask & (1 << k) > 0 THEN [6, 2, 2, 6][bit_count(mask)] ELSE -[6, 2, 2, 6][bit_count(mask) + 1] END / 24.0"
+O.CTES["given_phi"] = (
+    "SELECT model_version, snapshot_date, Customer_ID, k, sum(score * w) AS phi FROM ("
+    + " UNION ALL ".join(f"SELECT '{v}' AS model_version, snapshot_date, Customer_ID, k, s_{v} AS score, {_weight} AS w "
+                         "FROM coalition_scores CROSS JOIN (SELECT unnest(range(4)) AS k)" for v in _margins)
+    + ") GROUP BY ALL"
+)
+O.CTES["given_shap"] = (
+    f"SELECT model_version, snapshot_date, {list(EXACT_FEATURES)}[k + 1] AS feature, avg(abs(phi)) AS mean_abs_shap FROM given_phi GROUP BY ALL"
+)
+
+
+def given_attribution(t):
+    """Attribution of the given models over all rows of all months, against the first training rows."""
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in EXACT_FEATURES.items()]).alias("x")
+    rows = every_month(t).select("snapshot_date", F.xxhash64(*S.KEYS).alias("_row"), x)
+    first = reference(t).orderBy("snapshot_date", "Customer_ID").limit(BACKGROUND).select(x)
+    background = np.array([r["x"] for r in first.collect()])
+    tables = [
+        attribution.mean_absolute(
+            attribution.shapley_rows(rows, ["snapshot_date"], scorer, background, np.arange(4), 4), ["snapshot_date"], list(EXACT_FEATURES)
+        ).withColumn("model_version", F.lit(version))
+        for version, scorer in GIVEN.items()
+    ]
+    return tables[0].unionByName(tables[1])
+
+
+query("attribution_exact", "model_version:s snapshot_date:d feature:s mean_abs_shap:f", "SELECT * FROM given_shap")(given_attribution)
 
 
 # --- drift and monitoring ------------------------------------------------------------------------
 def prediction_runs(t):
-    return projection.between_dates(t.stored("predictions"), O.RUN_START, t.run_end)
+    return projection.between_dates(t.stored("predictions"), O.RUN_START, None)
 
 
 def reference_scores(t):
@@ -377,47 +458,38 @@ def reference_scores(t):
 query("psi_scores", "model_version:s snapshot_date:d psi_score:f", "SELECT * FROM psi")(
     lambda t: drift.prediction_psi(reference_scores(t), prediction_runs(t)))
 query("csi_features", "feature:s snapshot_date:d csi:f", "SELECT * FROM csi")(
-    lambda t: drift.feature_csi(reference(t), current(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES))
+    lambda t: drift.feature_csi(reference(t), every_month(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES))
 query("csi_summary", "snapshot_date:d max_csi:f mean_csi:f", "SELECT * FROM csi_sum")(
-    lambda t: drift.csi_summary(drift.feature_csi(reference(t), current(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES)))
+    lambda t: drift.csi_summary(drift.feature_csi(reference(t), every_month(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES)))
 query("ks_numeric", "feature:s snapshot_date:d statistic:f p_value:f", "SELECT * FROM ks")(
-    lambda t: drift.ks_numeric(reference(t), current(t), O.DRIFT_NUMERIC))
+    lambda t: drift.ks_numeric(reference(t), every_month(t), O.DRIFT_NUMERIC))
 query("chi2_drift", "feature:s snapshot_date:d statistic:f dof:i p_value:f", (
     "SELECT feature, snapshot_date, CASE WHEN isinf(statistic) THEN NULL ELSE statistic END AS statistic, dof, p_value FROM chi"
-))(lambda t: drift.chi_square_drift(reference(t), current(t), O.DRIFT_CATEGORIES).withColumn(
+))(lambda t: drift.chi_square_drift(reference(t), every_month(t), O.DRIFT_CATEGORIES).withColumn(
     "statistic", F.when(F.col("statistic") != F.lit(float("inf")), F.col("statistic"))))
 query("min_pvalue", "snapshot_date:d min_csi_pvalue:f", "SELECT * FROM pmin")(
     lambda t: drift.min_pvalue([
-        drift.ks_numeric(reference(t), current(t), O.DRIFT_NUMERIC),
-        drift.chi_square_drift(reference(t), current(t), O.DRIFT_CATEGORIES)]))
+        drift.ks_numeric(reference(t), every_month(t), O.DRIFT_NUMERIC),
+        drift.chi_square_drift(reference(t), every_month(t), O.DRIFT_CATEGORIES)]))
 query("usable_columns", "feature:s snapshot_date:d usable:b", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, snapshot_date, count({c}) > 0 AND (SELECT count({c}) FROM ref) > 0 AS usable FROM cur GROUP BY snapshot_date"
     for c in [*O.DRIFT_NUMERIC, *O.DRIFT_CATEGORIES]
-))(lambda t: drift.usable_features(reference(t), current(t), [*O.DRIFT_NUMERIC, *O.DRIFT_CATEGORIES]))
+))(lambda t: drift.usable_features(reference(t), every_month(t), [*O.DRIFT_NUMERIC, *O.DRIFT_CATEGORIES]))
 _perf_kinds = "snapshot_date:d model_version:s label_available:b auc:f gini:f accuracy:f precision:f recall:f f1:f"
 query("matured_performance", _perf_kinds, "SELECT * FROM perf_run")(
     lambda t: monitor.matured_performance(t.stored("predictions"), t.stored("labels")))
 
 
-def stand_in_attribution(t):
-    """Attribution-shaped table: mean absolute click counts per month and version."""
-    columns = ["fe_1", "fe_2", "fe_3", "fe_4", "fe_5", "fe_6", "fe_7"]
-    wide = current(t).groupBy("snapshot_date").agg(*[F.avg(F.abs(F.coalesce(c, F.lit(0)))).alias(c) for c in columns])
-    long = wide.unpivot(["snapshot_date"], columns, "feature", "mean_abs_shap")
-    return attribution.top_features_json(
-        long.withColumn("model_version", F.explode(F.array(F.lit("A"), F.lit("B")))), ["snapshot_date", "model_version"])
-
-
 def monitoring(t):
     return monitor.monitoring_rows(
         scoring=modelling.scoring_metadata(prediction_runs(t)),
-        missing=profile.missing_by_group(current(t), S.FEATURE_SOURCES, ["snapshot_date"]),
+        missing=profile.missing_by_group(every_month(t), S.FEATURE_SOURCES, ["snapshot_date"]),
         psi=drift.prediction_psi(reference_scores(t), prediction_runs(t)),
-        csi=drift.csi_summary(drift.feature_csi(reference(t), current(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES)),
+        csi=drift.csi_summary(drift.feature_csi(reference(t), every_month(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES)),
         pvalues=drift.min_pvalue([
-            drift.ks_numeric(reference(t), current(t), O.DRIFT_NUMERIC),
-            drift.chi_square_drift(reference(t), current(t), O.DRIFT_CATEGORIES)]),
-        attribution=stand_in_attribution(t),
+            drift.ks_numeric(reference(t), every_month(t), O.DRIFT_NUMERIC),
+            drift.chi_square_drift(reference(t), every_month(t), O.DRIFT_CATEGORIES)]),
+        attribution=attribution.top_features_json(given_attribution(t), ["snapshot_date", "model_version"]),
         performance=monitor.matured_performance(prediction_runs(t), t.stored("labels")),
     )
 
@@ -436,10 +508,11 @@ query("feature_alerts", "snapshot_date:d model_version:s feature_alert_level:s f
     "SELECT snapshot_date, model_version, feature_alert_level, feature_alert_reasons FROM mon"
 ))(monitoring)
 query("monitoring_history", "snapshot_date:d model_version:s n_scored:i psi_score:f", (
-    "SELECT snapshot_date, model_version, n_scored, psi_score FROM mon WHERE snapshot_date BETWEEN DATE '1996-01-01' AND DATE '1996-03-01'"
-))(lambda t: monitor.monitoring_history(monitoring(t), ["A", "B"], "1996-03-01", T.TRAIN_DATE))
-query("version_agreement", "aligned:b", "SELECT true AS aligned FROM (SELECT count(*) FROM mon)")(
-    lambda t: monitor.version_agreement(monitoring(t)))
+    "SELECT snapshot_date, model_version, n_scored, psi_score FROM mon WHERE snapshot_date BETWEEN DATE '1996-01-01' AND DATE '1998-03-01'"
+))(lambda t: monitor.monitoring_history(monitoring(t), ["A", "B"], "1998-03-01", T.TRAIN_DATE))
+query("version_agreement", "aligned:b", (
+    "SELECT bool_and(coalesce(lo = hi, true)) AS aligned FROM (SELECT min(max_csi) AS lo, max(max_csi) AS hi FROM mon GROUP BY snapshot_date)"
+))(lambda t: monitor.version_agreement(monitoring(t)))
 query("metric_series", "snapshot_date:d model_version:s metric:s value:f", " UNION ALL ".join(
     f"SELECT snapshot_date, model_version, '{m}' AS metric, {m} AS value FROM mon WHERE label_available AND {m} IS NOT NULL" for m in ("auc", "accuracy", "recall")
 ))(lambda t: monitor.metric_series(monitoring(t)))
@@ -448,10 +521,10 @@ query("alert_series", "snapshot_date:d model_version:s alert:s level:s rank:i",
     for a in ("performance_alert_level", "feature_alert_level")
 ))(lambda t: monitor.alert_series(monitoring(t)))
 query("attribution_history", "snapshot_date:d model_version:s feature:s mean_abs_shap:f", (
-    "SELECT snapshot_date, model_version, feature, round(v, 6) AS mean_abs_shap FROM (" + " UNION ALL ".join(
-        f"SELECT snapshot_date, '{c}' AS feature, avg(abs(coalesce({c}, 0))) AS v FROM cur GROUP BY snapshot_date" for c in [f"fe_{i}" for i in range(1, 8)]
-    ) + ") CROSS JOIN (SELECT unnest(['A', 'B']) AS model_version) QUALIFY row_number() OVER (PARTITION BY snapshot_date, model_version ORDER BY v DESC, feature) <= 5"
-))(lambda t: monitor.attribution_history(stand_in_attribution(t)))
+    "SELECT snapshot_date, model_version, feature, round(mean_abs_shap, 6) AS mean_abs_shap FROM given_shap "
+    "WHERE (snapshot_date, model_version) IN (SELECT (snapshot_date, model_version) FROM mon) "
+    "QUALIFY row_number() OVER (PARTITION BY snapshot_date, model_version ORDER BY mean_abs_shap DESC, feature) <= 5"
+))(lambda t: monitor.attribution_history(monitoring(t)))
 query("top_per_group", "snapshot_date:d Customer_ID:s Annual_Income:f rank:i", (
     "SELECT snapshot_date, Customer_ID, Annual_Income, row_number() OVER (PARTITION BY snapshot_date ORDER BY Annual_Income DESC, Customer_ID) AS rank "
     "FROM fin WHERE Annual_Income IS NOT NULL QUALIFY rank <= 5"

@@ -180,8 +180,6 @@ class Testbed:
     """The derived tables over one driver data folder (all lazy, built once)."""
 
     __test__ = False  # not a test case, despite the name
-    #: Last monitored month, where the statement of a query stops.
-    run_end: str | None = "1996-04-01"
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -319,9 +317,3 @@ class Testbed:
         joined = self.predictions().join(labels, S.KEYS)
         part = F.when(F.col("c") % 10 < 7, "train").when(F.col("c") % 10 < 9, "val").otherwise("test")
         return joined.withColumn("split", part)
-
-
-class EveryMonth(Testbed):
-    """The same tables, monitored in every month from the train date on."""
-
-    run_end = None

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -15,6 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from creditspine import schemas as S
 from creditspine.operators.metrics import auc_by
+from creditspine.sources.session import cut_lineage
 
 # Candidate grids -------------------------------------------------
 LR_GRID = [{"C": 0.1}, {"C": 1.0}, {"C": 10.0}]
@@ -25,6 +29,10 @@ BOOSTED_GRID = [
 ]
 MODEL_SEED = 611
 MISSING_CATEGORY = "Unknown"
+#: Candidates fitted at the same time.
+PARALLEL_FITS = 8
+#: Rows of a part of the table that candidates are fitted from.
+ROWS_PER_PART = 1 << 14
 
 
 def usable_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -61,7 +69,6 @@ def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str]) -> Pi
                 inputCols=[f"{c}__idx" for c in categorical],
                 outputCols=[f"{c}__vec" for c in categorical],
                 dropLast=True,
-                handleInvalid="keep",
             ),
         ]
         parts += [f"{c}__vec" for c in categorical]
@@ -153,6 +160,15 @@ class FittedModel:
     def classifier(self) -> Model:
         return self.pipeline.stages[-1]
 
+    def owners(self) -> np.ndarray:
+        """For each entry of the feature vector the number of its raw feature, numbers first."""
+        out = list(range(len(self.numeric)))
+        for stage in self.pipeline.stages:
+            if hasattr(stage, "labelsArray"):
+                for j, labels in enumerate(stage.labelsArray):
+                    out += [len(self.numeric) + j] * len(labels)
+        return np.array(out)
+
 
 def add_weights(df: DataFrame, w: ClassWeights) -> DataFrame:
     w0, w1 = w.balanced
@@ -173,8 +189,10 @@ def fit_families(split: DataFrame, numeric: Sequence[str], categorical: Sequence
     """Fit every candidate on ``split == 'train'`` and keep, per family, the
     best validation AUC (the first one wins ties).
 
-    The preprocessor does not depend on the candidate, so it is fitted once and
-    its output is kept while the candidates iterate over it.
+    The preprocessor does not depend on the candidate, so it is fitted once; its
+    output, weights included, is stored once and all candidates of all families
+    are fitted from it at the same time. A boosted candidate is a long chain of
+    short jobs, so together they take about as long as the longest of them.
     """
     numeric = usable_columns(split.where(F.col("split") == "train"), numeric)
     inputs = prepare_inputs(split, numeric, categorical)
@@ -185,30 +203,39 @@ def fit_families(split: DataFrame, numeric: Sequence[str], categorical: Sequence
     ready = add_weights(preprocessor.transform(inputs), weights).select(
         "split", "label", "features", "weight_balanced", "weight_positive"
     )
-    ready = ready.where(F.col("split").isin("train", "val")).persist(StorageLevel.MEMORY_AND_DISK)
-    out: dict[str, FittedModel] = {}
+    ready = evened(cut_lineage(ready.where(F.col("split").isin("train", "val")))).persist(StorageLevel.MEMORY_AND_DISK)
+    names = feature_names(preprocessor, numeric, categorical)
+    jobs = [(family, params) for family, grid in (grids or {f: g for f, (_, g) in FAMILIES.items()}).items() for params in grid]
+
+    def fit(job: tuple[str, dict]) -> tuple[float, Model]:
+        family, params = job
+        model = FAMILIES[family][0](params, n_rows).fit(ready.where(F.col("split") == "train"))
+        auc = auc_by(score_column(model.transform(ready.where(F.col("split") == "val"))), ["split"]).first()["auc"]
+        return float("-inf") if auc is None else auc, model
+
     try:
-        fit_rows, val_rows = (ready.where(F.col("split") == s) for s in ("train", "val"))
-        for family, grid in (grids or {f: g for f, (_, g) in FAMILIES.items()}).items():
-            candidate = FAMILIES[family][0]
-            best = None
-            for params in grid:
-                model = candidate(params, n_rows).fit(fit_rows)
-                auc = auc_by(score_column(model.transform(val_rows)), ["split"]).first()["auc"]
-                if best is None or (auc is not None and auc > best[0]):
-                    best = (float("-inf") if auc is None else auc, model, params)
-            out[family] = FittedModel(
-                name=family,
-                pipeline=PipelineModel(stages=[*preprocessor.stages, best[1]]),
-                numeric=list(numeric), categorical=list(categorical), params=best[2], validation_auc=best[0],
-                role=S.MODEL_ROLES.get(family, ""),
-                names=feature_names(preprocessor, numeric, categorical),
-            )
+        ready.count()
+        with ThreadPool(min(len(jobs), PARALLEL_FITS)) as pool:
+            fitted = pool.map(inheritable_thread_target(split.sparkSession)(fit), jobs)
     finally:
         ready.unpersist()
+    out: dict[str, FittedModel] = {}
+    for (family, params), (auc, model) in zip(jobs, fitted):
+        if model.numFeatures != len(names):
+            raise ValueError("the feature names do not fit the feature vector")
+        if family not in out or auc > out[family].validation_auc:
+            out[family] = FittedModel(
+                name=family, pipeline=PipelineModel(stages=[*preprocessor.stages, model]), numeric=list(numeric),
+                categorical=list(categorical), params=params, validation_auc=auc, role=S.MODEL_ROLES.get(family, ""), names=names,
+            )
     return out
 
 
+def evened(df: DataFrame) -> DataFrame:
+    """As many parts of equal size as the rows fill; every level of a tree is one job over them."""
+    return df.repartition(max(1, -(-df.count() // ROWS_PER_PART)))
+
+
 def score(df: DataFrame, model: FittedModel) -> DataFrame:
     """Rows with ``score``; helper columns of the pipeline are removed."""
     inputs = prepare_inputs(df, model.numeric, model.categorical)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,3 +102,16 @@ def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFr
     if n <= 0:
         return df.limit(0)
     return hashed.where(F.col("_order") <= F.lit(cut)).drop("_order")
+
+
+def sample_rows_by(df: DataFrame, keys: Sequence[str], by: Sequence[str], n: int, seed: int) -> DataFrame:
+    """Up to ``n`` rows of each group, the same ones on every run (keys must be unique).
+
+    All groups are sampled in one job: tasks keep their ``n`` smallest hashes of
+    a group before anything is shuffled.
+    """
+    if not by:
+        return sample_rows(df, keys, n, seed)
+    order = Window.partitionBy(*by).orderBy("_order")
+    ranked = df.withColumn("_order", hash_order(keys, seed)).withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= n).drop("_order", "_rank")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +15,8 @@ from creditspine.sources.snapshots import Datamart, read_history, write_runs, wr
 
 
 def attribution_rows(reference: DataFrame, current: DataFrame, model: FittedModel, **sampling) -> DataFrame:
-    """Top-feature JSON per month of one model. The linear model is attributed
-    exactly over all rows of all months in one job; any other one on a bounded
-    sample per month."""
-    if hasattr(model.classifier, "coefficients"):
-        table = A.linear_attribution(reference, current, model, [S.SNAPSHOT])
-    else:
-        days = [r[0] for r in current.select(S.SNAPSHOT).distinct().orderBy(S.SNAPSHOT).collect()]
-        table = reduce(DataFrame.unionByName, [
-            A.sampled_attribution(
-                reference, current.where(F.col(S.SNAPSHOT) == F.lit(day)), model, S.KEYS, **sampling
-            ).withColumn(S.SNAPSHOT, F.lit(day).cast("date"))
-            for day in days
-        ])
+    """Top-feature JSON per month of one model, of either family on the probability scale, all months in one job."""
+    table = A.sampled_attribution(reference, current, model, S.KEYS, [S.SNAPSHOT], **sampling)
     return A.top_features_json(table, [S.SNAPSHOT]).withColumn("model_version", F.lit(model.version))
 
 

@@ -53,6 +53,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/creditspine/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows as a table in the checkpoint folder and go on from there.
 

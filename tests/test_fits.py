@@ -21,8 +21,14 @@ def test_fit_uses_the_whole_grid_and_all_columns(spark, folder, monkeypatch, fam
         return {family: SimpleNamespace(version="")}
 
     monkeypatch.setattr(modelling, "fit_families", fit_families)
+    monkeypatch.setattr(queries_models, "_BANKS", {})
+    monkeypatch.setattr(queries_models.models, "save_model", lambda *a: None)
+    monkeypatch.setattr(queries_models.models, "load_model", lambda *a: None)
     table = Testbed(spark, folder)
     queries_models.fitted(table, family)
+    # a second query loads the saved model
+    monkeypatch.setattr(modelling, "fit_families", None)
+    queries_models.fitted(table, family)
     assert seen["grids"] in (None, {family: modelling.FAMILIES[family][1]})
     assert seen["columns"] == {*table.training().columns} - {*S.ID_COLS, *S.LABEL_COLS}
 

@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as entry
 from checks import oracles as O
-from checks.queries_months import NAMES
 from checks.testbed import Testbed
 
 QUERIES = entry.queries()
@@ -17,7 +16,7 @@ def months(spark, folder):
 
 
 @pytest.mark.parametrize("name", [
-    "attribution_linear", *(f"{n}_every_month" for n in NAMES if n in ("csi_features", "ks_numeric", "missing_by_group")),
+    "attribution_linear", "attribution_sampled_linear", "attribution_exact", "csi_features", "ks_numeric", "missing_by_group", "psi_scores",
 ])
 def test_every_month_is_monitored(spark, folder, months, name):
     assert len(months) > 4
