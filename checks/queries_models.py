@@ -16,9 +16,10 @@ from creditspine.functions import cleaning as C
 from creditspine.operators import (
     attribution, drift, encode, impute, metrics, modelling, monitor, profile, projection, ranks, scorers, splits,
 )
+from creditspine.plans import monitoring as monitoring_plan
 from creditspine.plans import training as training_plan
 from creditspine.sources import models
-from creditspine.sources.session import scratch
+from creditspine.sources.session import cut_lineage, scratch
 
 FIN_NUMERIC = [
     "Annual_Income", "Monthly_Inhand_Salary", "Outstanding_Debt", "Monthly_Balance", "Amount_invested_monthly",
@@ -481,14 +482,16 @@ query("matured_performance", _perf_kinds, "SELECT * FROM perf_run")(
 
 
 def monitoring(t):
+    """All monitoring rows, drift from the stored value counts of reference and months."""
+    before = cut_lineage(drift.value_counts(reference(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES))
+    state = cut_lineage(monitoring_plan.month_state(every_month(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES))
+    edges = ranks.fit_edges(reference(t), O.DRIFT_NUMERIC, drift.N_BINS)
     return monitor.monitoring_rows(
         scoring=modelling.scoring_metadata(prediction_runs(t)),
         missing=profile.missing_by_group(every_month(t), S.FEATURE_SOURCES, ["snapshot_date"]),
         psi=drift.prediction_psi(reference_scores(t), prediction_runs(t)),
-        csi=drift.csi_summary(drift.feature_csi(reference(t), every_month(t), O.DRIFT_NUMERIC, O.DRIFT_CATEGORIES)),
-        pvalues=drift.min_pvalue([
-            drift.ks_numeric(reference(t), every_month(t), O.DRIFT_NUMERIC),
-            drift.chi_square_drift(reference(t), every_month(t), O.DRIFT_CATEGORIES)]),
+        csi=drift.csi_summary(drift.csi_from_counts(before, state, edges, O.DRIFT_CATEGORIES)),
+        pvalues=drift.min_pvalue([drift.ks_from_counts(before, state), drift.chi_square_from_counts(before, state)]),
         attribution=attribution.top_features_json(given_attribution(t), ["snapshot_date", "model_version"]),
         performance=monitor.matured_performance(prediction_runs(t), t.stored("labels")),
     )

@@ -9,6 +9,7 @@ as share 1e-4.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,13 +39,41 @@ def numeric_bins(df: DataFrame, edges: DataFrame, columns: Sequence[str], ids: S
 
 
 def category_bins(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
-    """Counts per (ids, feature, category); null is ``Unknown``."""
-    wide = df.select(*ids, *[F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias(c) for c in columns])
-    return wide.unpivot(list(ids), list(columns), "feature", "bin").groupBy(*ids, "feature", "bin").agg(
-        F.count(F.lit(1)).alias("n")
+    """Counts per (ids, feature, category); null is ``Unknown``. ``known`` leaves the nulls out."""
+    wide = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in columns])
+    return _text_bins(wide.unpivot(list(ids), list(columns), "feature", "category").withColumn("n", F.lit(1).cast("long")), ids)
+
+
+def _text_bins(counts: DataFrame, ids: Sequence[str]) -> DataFrame:
+    named = counts.withColumn("bin", F.coalesce("category", F.lit("Unknown")))
+    return named.groupBy(*ids, "feature", "bin").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("category").isNotNull(), F.col("n")).otherwise(0)).alias("known")
     )
 
 
+def value_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
+    """(ids, feature, value, category, n): rows per distinct value, all columns in one scan.
+
+    The state that drift is told from: counts of the same ids add up, and bins,
+    distribution functions, category shares and null counts follow from them.
+    Numbers stand in ``value``, texts in ``category``; missing ones are null.
+    """
+    def cell(c: str, number: bool) -> Column:
+        x = F.col(c)
+        value = F.nanvl(x.cast("double"), F.lit(None).cast("double")) if number else F.lit(None).cast("double")
+        return F.struct(value.alias("value"), (F.lit(None) if number else x).cast("string").alias("category")).alias(c)
+
+    wide = df.select(*ids, *[cell(c, True) for c in numeric], *[cell(c, False) for c in categorical])
+    rows = wide.unpivot(list(ids), [*numeric, *categorical], "feature", "cell").select(*ids, "feature", "cell.*")
+    return rows.groupBy(*ids, "feature", "value", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def add_counts(*states: DataFrame) -> DataFrame:
+    """The counts of several states as one."""
+    rows = reduce(DataFrame.unionByName, states)
+    return rows.groupBy(*[c for c in rows.columns if c != "n"]).agg(F.sum("n").alias("n"))
+
+
 def with_shares(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``share`` of ``n`` within the keys."""
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
@@ -110,8 +139,10 @@ def psi_from_bins(reference: DataFrame, current: DataFrame, subject: Sequence[st
     are bin counts, so their size is bins, not rows; they are written out once
     (eager) because shares, runs and the comparison all read them.
     """
-    subject, run = list(subject), list(run)
-    reference, current = cut_lineage(reference), cut_lineage(current)
+    return _psi(cut_lineage(reference), cut_lineage(current), list(subject), list(run))
+
+
+def _psi(reference: DataFrame, current: DataFrame, subject: list[str], run: list[str]) -> DataFrame:
     ref = with_shares(reference, subject).select(*subject, "bin", F.col("share").alias("p"))
     cur = with_shares(current, [*subject, *run]).select(*subject, *run, "bin", F.col("share").alias("q"))
     runs = cur.select(*subject, *run).distinct()
@@ -140,14 +171,35 @@ def feature_csi(reference: DataFrame, current: DataFrame, numeric: Sequence[str]
     """
     run = list(run)
     edges = fit_edges(reference, numeric, N_BINS)
-    ref = numeric_bins(reference, edges, numeric).select("feature", "bin", "n")
-    cur = numeric_bins(current, edges, numeric, run).select("feature", *run, "bin", "n")
+    ref = numeric_bins(reference, edges, numeric).withColumn("known", F.col("n"))
+    cur = numeric_bins(current, edges, numeric, run).withColumn("known", F.col("n"))
     if categorical:
         ref = ref.unionByName(category_bins(reference, categorical))
-        known = usable_features(reference, current, categorical, run).where("usable")
-        named = category_bins(current, categorical, run).join(known, ["feature", *run], "left_semi")
-        cur = cur.unionByName(named.select("feature", *run, "bin", "n"))
-    return psi_from_bins(ref, cur, ["feature"], run).withColumnRenamed("psi", "csi")
+        cur = cur.unionByName(category_bins(current, categorical, run))
+    return _csi(ref, cur, run)
+
+
+def csi_from_counts(reference: DataFrame, current: DataFrame, edges: DataFrame, categorical: Sequence[str],
+                    run: Sequence[str] = ("snapshot_date",)) -> DataFrame:
+    """``feature_csi`` of the rows that two tables of value counts describe."""
+    run, n_edges = list(run), edges.count()
+
+    def bins(counts: DataFrame, ids: Sequence[str]) -> DataFrame:
+        binned = counts.where(F.col("value").isNotNull()).join(small(edges, n_edges), "feature").withColumn(
+            "bin", _bin_name(bucket_of(F.col("value"), F.col("edges"), N_BINS - 1)))
+        numbers = binned.groupBy(*ids, "feature", "bin").agg(F.sum("n").alias("n")).withColumn("known", F.col("n"))
+        return numbers.unionByName(_text_bins(counts.where(F.col("feature").isin(*categorical)), ids)) if categorical else numbers
+
+    return _csi(bins(reference, []), bins(current, run), run)
+
+
+def _csi(reference: DataFrame, current: DataFrame, run: list[str]) -> DataFrame:
+    """Stability index from bins; a feature without known values on either side gives no row."""
+    ref, cur = cut_lineage(reference), cut_lineage(current)
+    seen = ref.groupBy("feature").agg(F.sum("known").alias("k")).where("k > 0").select("feature")
+    usable = cur.groupBy("feature", *run).agg(F.sum("known").alias("k")).where("k > 0").drop("k").join(seen, "feature", "left_semi")
+    kept = cur.join(usable, ["feature", *run], "left_semi")
+    return _psi(ref, kept, ["feature"], run).withColumnRenamed("psi", "csi")
 
 
 def csi_summary(csi: DataFrame, run: Sequence[str] = ("snapshot_date",)) -> DataFrame:
@@ -163,17 +215,17 @@ def ks_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str],
     ranked once for all runs and looked up there: the work grows with the
     distinct values of the reference plus those of the runs.
     """
-    run = list(run)
-    keys = ["feature", *run]
+    return ks_from_counts(value_counts(reference, columns, []), value_counts(current, columns, [], run), run)
 
-    def counts(df: DataFrame, ids: Sequence[str], name: str) -> DataFrame:
-        return (
-            unpivot_numeric(df, ids, columns).where(F.col("value").isNotNull())
-            .groupBy("feature", *ids, "value").agg(F.count(F.lit(1)).alias(name))
-        )
 
-    cur = cut_lineage(counts(current, run, "n_cur"))
-    points = counts(reference, [], "n_ref").unionByName(
+def ks_from_counts(reference: DataFrame, current: DataFrame, run: Sequence[str] = ("snapshot_date",)) -> DataFrame:
+    """``ks_numeric`` of the rows that two tables of value counts describe."""
+    run = list(run)
+    keys = ["feature", *run]
+    known = F.col("value").isNotNull()
+    cur = cut_lineage(current.where(known).select(*keys, "value", F.col("n").alias("n_cur")))
+    points = reference.where(known).select("feature", "value", F.col("n").alias("n_ref"))
+    points = points.unionByName(
         cur.select("feature", "value", F.lit(0).cast("bigint").alias("n_ref"))
     ).groupBy("feature", "value").agg(F.sum("n_ref").alias("n_ref"))
     looked_up = running_totals(cur, keys, "value", ["n_cur"]).join(
@@ -203,18 +255,21 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns: Sequence
     Nulls are left out. A category new to the run gives an infinite statistic
     and p-value 0.
     """
+    return chi_square_from_counts(value_counts(reference, [], columns), value_counts(current, [], columns, run), run)
+
+
+def chi_square_from_counts(reference: DataFrame, current: DataFrame, run: Sequence[str] = ("snapshot_date",)) -> DataFrame:
+    """``chi_square_drift`` of the rows that two tables of value counts describe."""
     run = list(run)
 
-    def counts(df: DataFrame, ids: Sequence[str]) -> DataFrame:
-        wide = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in columns])
-        long = wide.unpivot(list(ids), list(columns), "feature", "bin").where(F.col("bin").isNotNull())
-        return long.groupBy(*ids, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    def cells(counts: DataFrame, ids: Sequence[str]) -> DataFrame:
+        return cut_lineage(counts.where(F.col("category").isNotNull()).select(*ids, "feature", F.col("category").alias("bin"), "n"))
 
-    ref = with_shares(cut_lineage(counts(reference, [])), ["feature"]).select("feature", "bin", "share")
-    cur = cut_lineage(counts(current, run))  # category counts, read several times below
+    ref = with_shares(cells(reference, []), ["feature"]).select("feature", "bin", "share")
+    cur = cells(current, run)  # category counts, read several times below
     totals = cur.groupBy(*run, "feature").agg(F.sum("n").alias("total"))
-    cells = ref.join(totals.drop("total"), "feature").join(cur, [*run, "feature", "bin"], "full")
-    cells = cells.join(totals, [*run, "feature"])
+    both = ref.join(totals.drop("total"), "feature").join(cur, [*run, "feature", "bin"], "full")
+    both = both.join(totals, [*run, "feature"])
     known = ref.select("feature").distinct()
     expected = F.col("share") * F.col("total")
     observed = F.coalesce("n", F.lit(0)).cast("double")
@@ -222,7 +277,7 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns: Sequence
         (observed - expected) * (observed - expected) / expected
     )
     return (
-        cells.join(known, "feature", "left_semi")
+        both.join(known, "feature", "left_semi")
         .groupBy("feature", *run)
         .agg(F.sum(term).alias("statistic"), (F.count(F.lit(1)) - 1).cast("int").alias("dof"))
         .withColumn("p_value", chi_square_pvalue("statistic", "dof"))

@@ -4,7 +4,7 @@ Ranks over a whole table (AUC, Kolmogorov-Smirnov, exact quantiles, exact
 samples) would put all rows of a group into one task if written as one plain
 window. Here equal values are counted first (partial aggregation before the
 shuffle, so a value held by a third of all rows is one row afterwards). Running
-sums then cut the distinct values of a group into range buckets of about equal
+sums then deal the distinct values of all groups into ranges of about equal
 size; quantiles and samples only ever rank the values near the wanted ranks.
 """
 
@@ -17,11 +17,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditspine.sources.session import cut_lineage
+from creditspine.sources.session import cut_and_count, cut_lineage
 
-BUCKETS = 64
 ACCURACY = 10_000
-MAX_GROUPS = 10_000
+#: Counted values that one task ranks.
+ROWS_PER_RANGE = 1 << 17
 #: Fitted tables (brackets, bin edges) up to this size are broadcast, so the data is not shuffled to meet them.
 BROADCAST_ROWS = 100_000
 
@@ -40,47 +40,42 @@ def running_totals(
     keys: Sequence[str],
     order: str,
     measures: Sequence[str],
-    buckets: int = BUCKETS,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over smaller values) and ``<m>_total`` per key group.
 
     ``counts`` holds one row per (keys, order); rows with a null key or value
-    are left out. It is needed three times below, so it is written out once
-    (eager). Each group is cut into ``buckets`` ranges by a bounded quantile
-    sketch; only the per-range totals (at most ``buckets`` rows a group) are
-    summed across ranges, and the running sums are windows inside one range.
+    are left out. A scan on two levels: the rows are dealt into ranges of
+    (keys, order) of about ``rows_per_range`` rows, so a key with many values
+    spreads over many ranges and the number of ranges grows with the table; the
+    sums of whole ranges, one row per key and range, are summed across ranges,
+    and running sums are windows inside one range. Eager: the counts are written
+    once and once more with their range, which both levels read.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("running_totals needs at least one key column")
-    counts = cut_lineage(counts.dropna(subset=[*keys, order]))
-    cuts = [i / buckets for i in range(1, buckets)]
-    edges = counts.groupBy(*keys).agg(
-        F.percentile_approx(order, cuts, 1000).alias("_edges"),
-        *[F.sum(m).alias(f"{m}_total") for m in measures],
-    )
-    # this many comparisons are too long for one generated method, so the array
-    # is filtered by a higher-order function here (measured faster)
-    bucket = F.size(F.filter("_edges", lambda e: e <= F.col(order)))
-    placed = counts.join(edges, keys).withColumn("_bucket", bucket).drop("_edges")
-
-    across = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(m).alias(f"_s_{m}") for m in measures])
-        .select(
-            *keys,
-            "_bucket",
-            *[F.coalesce(F.sum(f"_s_{m}").over(across), F.lit(0)).alias(f"_o_{m}") for m in measures],
-        )
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    counts, rows = cut_and_count(counts.dropna(subset=[*keys, order]))
+    ranges = math.ceil(rows / rows_per_range)
+    if ranges > 1:
+        placed = cut_lineage(counts.repartitionByRange(ranges, *keys, order).withColumn("_range", F.spark_partition_id()))
+    else:
+        placed = counts.withColumn("_range", F.lit(0))
+
+    across = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    sums = placed.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_s_{m}") for m in measures])
+    offsets, n_offsets = cut_and_count(sums.select(
+        *keys, "_range",
+        *[F.coalesce(F.sum(f"_s_{m}").over(across), F.lit(0)).alias(f"_o_{m}") for m in measures],
+        *[F.sum(f"_s_{m}").over(whole).alias(f"{m}_total") for m in measures],
+    ))
+    inside = Window.partitionBy("_range", *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.withColumns({f"_b_{m}": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
     return (
-        placed.join(offsets, [*keys, "_bucket"])
-        .withColumns({
-            f"{m}_before": F.col(f"_o_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures
-        })
-        .drop("_bucket", *[f"_o_{m}" for m in measures])
+        within.join(small(offsets, n_offsets), [*keys, "_range"])
+        .withColumns({f"{m}_before": F.col(f"_o_{m}") + F.col(f"_b_{m}") for m in measures})
+        .drop("_range", *[f"_{x}_{m}" for m in measures for x in "ob"])
     )
 
 
@@ -113,6 +108,7 @@ def exact_quantiles(
     out; a column without values gives no row. Eager, two scans:
 
     1. one aggregate sketches a narrow value bracket around every wanted rank;
+       the brackets of all groups are a stored table;
     2. one aggregate counts values inside the brackets one by one and whole
        gaps between brackets as single cells, so that next to nothing is
        shuffled: about ``4 / accuracy`` of the rows per wanted rank.
@@ -124,28 +120,18 @@ def exact_quantiles(
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     keys = [*by, "feature"]
     rows = df.dropna(subset=by) if by else df
-    brackets = _brackets(rows, columns, probs, by)
-    schema = _quantile_schema(df, by)
-    if brackets is not None and not brackets:
-        return df.sparkSession.createDataFrame([], schema)
+    brackets, n_brackets = cut_and_count(_brackets(rows, columns, probs, by))
     long = unpivot_numeric(rows, by, columns).where(F.col("value").isNotNull())
-    if brackets is None:  # more groups than can be described on the driver
-        counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")).withColumns({
-            "top": F.col("value"), "single": F.lit(True)
-        })
-        return _rank_on_cluster(counts, keys, probs)
-
-    types = dict(df.dtypes)
-    table = df.sparkSession.createDataFrame(brackets, ", ".join(
-        [*[f"`{k}` {types[k]}" for k in by], "feature string", *[f"lo{j} double, hi{j} double" for j in range(len(probs))]]
-    ))
-    # span starts at or below the value plus span ends below it: odd inside a span
     value = F.col("value")
-    cell = sum(
-        ((value >= F.col(f"lo{j}")).cast("int") + (value > F.col(f"hi{j}")).cast("int") for j in range(len(probs))), F.lit(0)
-    )
+
+    def passed(j: int) -> Column:
+        span = F.get("spans", F.lit(j))
+        return F.coalesce((value >= span["lo"]).cast("int") + (value > span["hi"]).cast("int"), F.lit(0))
+
+    # span starts at or below the value plus span ends below it: odd inside a span
+    cell = sum((passed(j) for j in range(len(probs))), F.lit(0))
     counts = (
-        long.join(small(table, len(brackets)), keys)
+        long.join(small(brackets, n_brackets), keys)
         .select(*keys, "value", cell.alias("cell"))
         .withColumn("single", F.col("cell") % 2 == 1)
         .groupBy(*keys, "cell", "single", F.when(F.col("single"), F.col("value")).alias("at"))
@@ -155,39 +141,30 @@ def exact_quantiles(
     return _rank_on_cluster(counts, keys, probs)
 
 
-def _quantile_schema(df: DataFrame, by: Sequence[str]) -> str:
-    types = dict(df.dtypes)
-    return ", ".join([*[f"`{k}` {types[k]}" for k in by], "feature string", "prob double", "quantile double"])
-
-
-def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> list | None:
-    """Rows ``(by..., feature, lo0, hi0, lo1, ...)`` of disjoint value spans, one
-    per wanted rank at most, padded with infinity; None when there are
-    too many groups."""
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by..., feature, spans): disjoint value spans (lo, hi) in rising order, one
+    per wanted rank at most; no row for a feature without values."""
     reach = 2.0 / ACCURACY
     grid = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
-    aggs = []
-    for i, c in enumerate(columns):
-        x = _number(F.col(c))
-        aggs += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, grid, ACCURACY).alias(f"q{i}")]
-    found = df.groupBy(*by).agg(*aggs).limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        return None
-    rows = []
-    for r in found:
-        for i, c in enumerate(columns):
-            n = r[f"n{i}"]
-            if not n:
-                continue
-            spans: list[list[float]] = []
-            for lo, hi in sorted(zip(r[f"q{i}"][::2], r[f"q{i}"][1::2])):
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], hi)
-                else:
-                    spans.append([lo, hi])
-            spans += [[math.inf, math.inf]] * (len(probs) - len(spans))
-            rows.append((*[r[k] for k in by], c, *[x for s in spans for x in s]))
-    return rows
+    aggs = [F.percentile_approx(_number(F.col(c)), grid, ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)]
+    sketches = df.groupBy(*by).agg(*aggs)
+    named = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"q{i}").alias("q")) for i, c in enumerate(columns)])
+    at = F.sequence(F.lit(0), F.lit(len(probs) - 1))
+    pairs = F.array_sort(F.transform(at, lambda j: F.struct(F.get("q", 2 * j).alias("lo"), F.get("q", 2 * j + 1).alias("hi"))))
+
+    def merged(spans: Column, new: Column) -> Column:
+        last = F.element_at(spans, -1)
+        wider = F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], new["hi"]).alias("hi"))
+        return F.when(new["lo"] <= last["hi"], F.concat(F.slice(spans, 1, F.size(spans) - 1), F.array(wider))).otherwise(
+            F.concat(spans, F.array(new)))
+
+    first = F.slice("pairs", 1, 1)
+    rest = F.slice("pairs", 2, max(1, len(probs)))
+    return (
+        sketches.select(*by, F.inline(named)).where(F.col("q").isNotNull())
+        .select(*by, "feature", pairs.alias("pairs"))
+        .select(*by, "feature", F.aggregate(rest, first, merged).alias("spans"))
+    )
 
 
 def _rank_on_cluster(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -243,19 +220,13 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
 def fit_edges(df: DataFrame, columns: Sequence[str], n_bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Interior quantile bin edges, one row ``(by..., feature, edges)`` each.
 
-    Fits: the edges are part of a model's record (``n_bins - 1`` numbers per
-    feature and model), so they are brought back once and returned as a local
-    table that every later pass over the data reuses.
+    The edges are part of a model's record (``n_bins - 1`` numbers per feature
+    and group) and are stored, so that every later pass over the data reuses them.
     """
     by = list(by)
     q = exact_quantiles(df, columns, [i / n_bins for i in range(1, n_bins)], by)
-    edges: dict[tuple, list[tuple[float, float]]] = {}
-    for r in q.collect():
-        edges.setdefault((*[r[k] for k in by], r["feature"]), []).append((r["prob"], r["quantile"]))
-    rows = [(*key, [v for _, v in sorted(pairs)]) for key, pairs in sorted(edges.items())]
-    types = dict(df.dtypes)
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in by], "feature string", "edges array<double>"])
-    return df.sparkSession.createDataFrame(rows, schema)
+    pairs = F.sort_array(F.collect_list(F.struct("prob", "quantile")))
+    return cut_lineage(q.groupBy(*by, "feature").agg(F.transform(pairs, lambda p: p["quantile"]).alias("edges")))
 
 
 def hash_cuts(df: DataFrame, order: str, wanted: Mapping[object, Sequence[int]], group: str | None = None,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,11 @@ from creditspine.operators import drift, monitor
 from creditspine.operators.modelling import FittedModel, compare_models, score, scoring_metadata
 from creditspine.operators.profile import missing_by_group
 from creditspine.sources.models import load_model, side_table
-from creditspine.sources.snapshots import Datamart, read_history, write_runs, write_snapshot
+from creditspine.sources.session import cut_lineage
+from creditspine.sources.snapshots import Datamart, exists, read_history, write_runs, write_snapshot
+
+#: Names of the stored tables of a ``Reference``.
+REFERENCE_TABLES = ("reference_sample", "reference_counts", "reference_edges", "reference_scores")
 
 
 def attribution_rows(reference: DataFrame, current: DataFrame, model: FittedModel, **sampling) -> DataFrame:
@@ -20,40 +27,90 @@ def attribution_rows(reference: DataFrame, current: DataFrame, model: FittedMode
     return A.top_features_json(table, [S.SNAPSHOT]).withColumn("model_version", F.lit(model.version))
 
 
-def monitor_model(features: DataFrame, preds: DataFrame, labels: DataFrame, reference: DataFrame,
-                  model: FittedModel, **sampling) -> DataFrame:
-    """Monitoring rows of one model for every month present in ``features``."""
-    csi = drift.feature_csi(reference, features, model.numeric, model.categorical)
-    pvalues = [drift.ks_numeric(reference, features, model.numeric)]
-    if model.categorical:
-        pvalues.append(drift.chi_square_drift(reference, features, model.categorical))
-    reference_scores = score(reference, model).select(
-        F.lit(model.version).alias("model_version"), F.col("score").alias("model_predictions")
+@dataclass(frozen=True)
+class Reference:
+    """What drift is measured against, fitted once with the model."""
+
+    rows: DataFrame
+    counts: DataFrame
+    edges: DataFrame
+    scores: DataFrame
+
+
+def fit_reference(rows: DataFrame, model: FittedModel) -> Reference:
+    """Value counts, bin edges and scores of the reference rows, each stored."""
+    scores = score(rows, model).select(F.lit(model.version).alias("model_version"), F.col("score").alias("model_predictions"))
+    return Reference(
+        rows, cut_lineage(drift.value_counts(rows, model.numeric, model.categorical)),
+        drift.fit_edges(rows, model.numeric, drift.N_BINS), cut_lineage(scores),
     )
+
+
+def month_state(features: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Value counts per month: all that the drift of a month is told from."""
+    return drift.value_counts(features, numeric, categorical, [S.SNAPSHOT])
+
+
+def monitor_model(features: DataFrame, preds: DataFrame, labels: DataFrame, reference: Reference,
+                  model: FittedModel, state: DataFrame | None = None, **sampling) -> DataFrame:
+    """Monitoring rows of one model for every month present in ``features``.
+
+    Drift comes from ``state``, the value counts of these months, so the feature
+    rows are scanned for it once, and not at all where the state is stored.
+    """
+    if state is None:
+        state = cut_lineage(month_state(features, model.numeric, model.categorical))
+    pvalues = [drift.ks_from_counts(reference.counts, state)]
+    if model.categorical:
+        pvalues.append(drift.chi_square_from_counts(reference.counts, state))
     return monitor.monitoring_rows(
         scoring=scoring_metadata(preds),
         missing=missing_by_group(features, {
             s: [c for c in cols if c in features.columns] for s, cols in S.FEATURE_SOURCES.items()
         }, [S.SNAPSHOT]),
-        psi=drift.prediction_psi(reference_scores, preds),
-        csi=drift.csi_summary(csi),
+        psi=drift.prediction_psi(reference.scores, preds),
+        csi=drift.csi_summary(drift.csi_from_counts(reference.counts, state, reference.edges, model.categorical)),
         pvalues=drift.min_pvalue(pvalues),
-        attribution=attribution_rows(reference, features, model, **sampling),
+        attribution=attribution_rows(reference.rows, features, model, **sampling),
         performance=monitor.matured_performance(preds, labels),
     )
 
 
-def run_monitoring(spark: SparkSession, mart: Datamart, bank: str, version: str, start, end=None) -> None:
-    """Monitor the months in ``[start, end]`` of one model and store the rows."""
+def run_state(spark: SparkSession, mart: Datamart, numeric: Sequence[str], categorical: Sequence[str], start, end=None,
+              refresh: bool = False) -> DataFrame:
+    """Store the state of the months in ``[start, end]`` that have none yet, and return it.
+
+    The state depends on the features alone, so the models of a mart share it.
+    ``refresh`` counts the months anew, as is due after their features were
+    written again.
+    """
+    end = end or start
+    inside = F.col(S.SNAPSHOT).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    path = mart.path("gold", "monitoring_state")
+    months = read_history(spark, mart.path("gold", "feature_store")).where(inside)
+    if not refresh and exists(spark, path):
+        stored = read_history(spark, path).where(inside & F.col("feature").isin(*numeric, *categorical))
+        whole = stored.groupBy(S.SNAPSHOT).agg(F.count_distinct("feature").alias("n")).where(F.col("n") == len(numeric) + len(categorical))
+        months = months.join(cut_lineage(whole), S.SNAPSHOT, "left_anti")
+    write_snapshot(month_state(months, numeric, categorical), path)
+    return read_history(spark, path).where(inside & F.col("feature").isin(*numeric, *categorical))
+
+
+def run_monitoring(spark: SparkSession, mart: Datamart, bank: str, version: str, start, end=None, refresh: bool = False) -> None:
+    """Monitor the months in ``[start, end]`` of one model and store the rows.
+
+    A month reads its own rows and the tables that were stored with the model;
+    see ``run_state`` for ``refresh``.
+    """
     end = end or start
     inside = F.col(S.SNAPSHOT).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     features = read_history(spark, mart.path("gold", "feature_store")).where(inside)
     preds = read_history(spark, mart.path("gold", "predictions")).where(inside & (F.col("model_version") == version))
     labels = read_history(spark, mart.path("gold", "label_store"))
-    rows = monitor_model(
-        features, preds, labels, side_table(spark, bank, version, "reference_sample"), load_model(spark, bank, version)
-    )
-    write_runs(rows, mart.path("gold", "monitoring"))
+    model = load_model(spark, bank, version)
+    state = run_state(spark, mart, model.numeric, model.categorical, start, end, refresh)
+    reference = Reference(*[side_table(spark, bank, version, name) for name in REFERENCE_TABLES])
+    write_runs(monitor_model(features, preds, labels, reference, model, state), mart.path("gold", "monitoring"))
 
 
 def run_comparison(spark: SparkSession, mart: Datamart, bank: str, champion: str, challenger: str, date) -> None:

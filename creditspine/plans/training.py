@@ -13,7 +13,9 @@ from creditspine.operators.metrics import classification_metrics, data_stats
 from creditspine.operators.modelling import FittedModel, fit_families, score
 from creditspine.operators.projection import feature_columns, sample_rows
 from creditspine.operators.splits import TimeWindows, stratified_split, tag_windows, time_windows
+from creditspine.plans.monitoring import fit_reference
 from creditspine.sources.models import model_version, save_model
+from creditspine.sources.session import cut_lineage
 from creditspine.sources.snapshots import Datamart, read_history
 
 REFERENCE_ROWS = 5000
@@ -85,13 +87,18 @@ def run_training(spark: SparkSession, mart: Datamart, bank: str, train_date: str
                  grids: dict | None = None) -> list[str]:
     """Train on the stored training table and save every model; returns versions."""
     result = train(read_history(spark, mart.path("gold", "training")), train_date, train_months, oot_months, grids)
+    # what does not depend on the model is computed once
+    shared = {name: cut_lineage(getattr(result, name)) for name in ("data_stats", "feature_distributions", "reference_sample")}
+    metrics, scores = cut_lineage(result.metrics), cut_lineage(result.score_distribution)
     for model in result.models.values():
         mine = F.col("model_version") == model.version
+        reference = fit_reference(shared["reference_sample"], model)
         save_model(spark, model, bank, {
-            "metrics": result.metrics.where(mine),
-            "data_stats": result.data_stats,
-            "score_distribution": result.score_distribution.where(mine),
-            "feature_distributions": result.feature_distributions,
-            "reference_sample": result.reference_sample,
+            "metrics": metrics.where(mine),
+            "score_distribution": scores.where(mine),
+            **shared,
+            "reference_counts": reference.counts,
+            "reference_edges": reference.edges,
+            "reference_scores": reference.scores,
         })
     return [m.version for m in result.models.values()]

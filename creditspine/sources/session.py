@@ -64,6 +64,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where a derived table feeds several jobs: it is computed once, the
     copy outlives lost executors, and readers get column pruning and sizes.
     """
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/creditspine/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_and_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """As ``cut_lineage``, with the number of rows, read from the files' own counts."""
+    out = cut_lineage(df)
+    return out, out.count()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,6 +60,14 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at the path."""
+    try:
+        return bool(spark.read.format("binaryFile").load(path).schema)
+    except AnalysisException:
+        return False
+
+
 def read_snapshot(spark: SparkSession, path: str, date, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """One month of a table: only its folder is read."""
     df = read_history(spark, path, fmt, schema)

@@ -110,3 +110,23 @@ def test_ks_of_several_runs_matches_a_plain_count(spark):
     assert set(got) == set(runs)
     for d, xs in runs.items():
         assert abs(got[d] - np.abs(share(ref) - share(xs)).max()) < 1e-12
+
+
+def test_states_of_months_add_up(spark):
+    """Drift from value counts of parts, added up, is drift of the rows themselves."""
+    rows = spark.range(600).select(
+        (F.col("id") % 3).alias("snapshot_date"), F.pmod(F.xxhash64("id"), F.lit(50)).cast("double").alias("a"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("b"), F.when(F.col("id") % 11 > 0, F.concat(F.lit("c"), F.col("id") % 4)).alias("c"))
+    ref, numeric, texts = rows.where("snapshot_date = 0").drop("snapshot_date"), ["a", "b"], ["c"]
+    state = drift.add_counts(*[drift.value_counts(rows.where(f"hash(a, b, c) % 2 = {k}"), numeric, texts, ["snapshot_date"]) for k in (-1, 0, 1)])
+    assert state.where("value is null and category is null").agg(F.sum("n")).first()[0] == rows.where("b is null").count() + rows.where("c is null").count()
+    before = drift.value_counts(ref, numeric, texts)
+    edges = drift.fit_edges(ref, numeric, drift.N_BINS)
+    pairs = [
+        (drift.csi_from_counts(before, state, edges, texts), drift.feature_csi(ref, rows, numeric, texts)),
+        (drift.ks_from_counts(before, state), drift.ks_numeric(ref, rows, numeric)),
+        (drift.chi_square_from_counts(before, state), drift.chi_square_drift(ref, rows, texts)),
+    ]
+    for got, want in pairs:
+        a, b = (sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(want.columns).collect()) for df in (got, want))
+        assert a == b and len(a) >= 3

@@ -71,6 +71,14 @@ def test_train_score_monitor(spark, mart, tmp_path):
     for v in versions:
         scoring.run_scoring(spark, mart, bank, v, "1996-01-01", "1996-02-01")
         monitoring.run_monitoring(spark, mart, bank, v, "1996-01-01", "1996-02-01")
+    # the models share the stored state of the months; a rerun reads it and gives the same rows
+    state = read_history(spark, mart.path("gold", "monitoring_state"))
+    assert state.select("snapshot_date").distinct().count() == 2
+    rows = read_history(spark, mart.path("gold", "monitoring")).where(F.col("model_version") == versions[0]).collect()
+    monitoring.run_monitoring(spark, mart, bank, versions[0], "1996-02-01")
+    monitoring.run_monitoring(spark, mart, bank, versions[0], "1996-01-01", refresh=True)
+    again = read_history(spark, mart.path("gold", "monitoring")).where(F.col("model_version") == versions[0]).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
     runs = spark.read.json(mart.path("gold", "scoring_runs"))
     assert runs.count() == 4 and {r["error_rate"] for r in runs.collect()} == {0.0}
 

@@ -25,10 +25,10 @@ def test_quantiles_with_a_hot_value_and_groups(spark):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("w", [2, 8, 64])
+@pytest.mark.parametrize("w", [97, 1000, 1 << 17])
 def test_running_totals_equal_a_window(spark, w):
     c = spark.range(5000).select((F.col("id") % 3).alias("k"), F.pmod(F.xxhash64("id"), F.lit(997)).alias("v")).groupBy("k", "v").agg(F.count("*").alias("n"))
-    got = {(r["k"], r["v"]): (r["n_before"], r["n_total"]) for r in ranks.running_totals(c, ["k"], "v", ["n"], buckets=w).collect()}
+    got = {(r["k"], r["v"]): (r["n_before"], r["n_total"]) for r in ranks.running_totals(c, ["k"], "v", ["n"], rows_per_range=w).collect()}
     rows = sorted((r["k"], r["v"], r["n"]) for r in c.collect())
     for k in range(3):
         seen, total = 0, sum(n for kk, _, n in rows if kk == k)
@@ -38,6 +38,23 @@ def test_running_totals_equal_a_window(spark, w):
                 seen += n
 
 
+def test_many_values_of_two_keys_spread_over_ranges(spark):
+    """One key holds nearly all values; no range and no exchange takes it whole."""
+    c = spark.range(40_000).select(F.when(F.col("id") < 500, "small").otherwise("large").alias("k"), F.col("id").alias("v"), F.lit(1).cast("long").alias("n"))
+    out = ranks.running_totals(c, ["k"], "v", ["n"], rows_per_range=4000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" not in plan and "hashpartitioning(_range#" in plan
+    spread = ranks.cut_lineage(c.repartitionByRange(10, "k", "v").withColumn("_range", F.spark_partition_id()))
+    assert spread.groupBy("_range").count().agg(F.max("count")).first()[0] < 8000
+    assert out.where("k = 'large' and n_before <> v - 500").count() == 0
+
+
+def test_quantiles_of_very_many_groups(spark):
+    df = spark.range(60_000).select((F.col("id") % 15_000).alias("g"), (F.col("id") / 15_000).cast("long").cast("double").alias("x"))
+    got = ranks.exact_quantiles(df, ["x"], [0.0, 0.5, 1.0], ["g"]).groupBy("prob", "quantile").count().collect()
+    assert {(r["prob"], r["quantile"], r["count"]) for r in got} == {(0.0, 0.0, 15_000), (0.5, 1.5, 15_000), (1.0, 3.0, 15_000)}
+
+
 @pytest.mark.parametrize("n", [0, 1, 6, 1234, 2999, 3000, 9999])
 def test_sample_rows_is_exact_and_repeatable(spark, n):
     df = spark.range(3000)
