@@ -33,7 +33,9 @@ from pyspark.sql.types import StructType
 
 from creditspine.llm.common import store
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Signs that Python counts as word characters but not as letters or digits, such as fractions and Roman numerals.
+SIGNS = "".join(c for c in re.findall(r"[^\W\d_]", "".join(map(chr, range(0x110000)))) if not c.isalpha())
+LETTERS = re.compile(rf"[^\W\d_{re.escape(SIGNS)}]+")
 START = "▁"
 #: A longer word is scored in parts of this length.
 LONGEST = 40
@@ -263,7 +265,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return rows.mapInArrow(run, out)
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents in a language that the model knows, columns as before."""
-    out = predict(docs, model, text_col).where((F.col("lang_pred") != UND) & (F.col("score") >= least))
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The documents with a predicted language, columns as before; only ``und`` goes."""
+    out = predict(docs, model, text_col).where(F.col("lang_pred") != UND)
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

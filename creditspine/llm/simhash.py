@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditspine.llm.blocks import deal, forest, pairs
@@ -59,16 +59,21 @@ def fingerprint(text: str | None, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id_col, fp): one signed 64-bit fingerprint per row with an id."""
+    """(id_col, fp, text_hash): one signed 64-bit fingerprint per row with an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             fp = np.fromiter((fingerprint(t.as_py(), width) for t in texts), dtype="<u8", count=len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view("<i8"))], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view("<i8")), batch.column(2)], names=[id_col, "fp", "text_hash"])
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, f"`{id_col}` long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text, text_hash(text))
+    return rows.mapInArrow(run, f"`{id_col}` long, fp long, text_hash long")
+
+
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def variant_masks(max_distance: int) -> list[int]:
@@ -127,7 +132,7 @@ def linked_fingerprints(distinct: DataFrame, max_distance: int) -> DataFrame:
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = 3, max_distance: int = 2) -> DataFrame:
     """(id_col, fp, component_id): the smallest id reachable over links, for each row."""
-    rows = store(fingerprints(docs, id_col, text_col, width))
+    rows = store(fingerprints(docs, id_col, text_col, width).drop("text_hash"))
     # a fingerprint class stands for all its copies; its name is its smallest id
     classes = store(rows.groupBy("fp").agg(F.min(id_col).alias("rep")))
     links = store(linked_fingerprints(classes, max_distance))
@@ -147,15 +152,30 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 2) -> DataFrame:
-    """The documents whose id names their group, columns as before; rows with a null id stay.
+    """One row of each group of near copies, columns as before; rows with a null id stay.
 
-    Of rows that repeat such an id the one with the smallest text stays.
+    Groups follow from the texts alone, so rows that repeat an id with unlike
+    texts all stay. The row with the smallest id stays; of rows of a group that
+    repeat this id the one with the smallest hash of its text, and of rows equal
+    in both the one whose other columns sort first.
     """
-    groups = store(simhash_groups(docs, id_col, text_col, width, max_distance))
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone_id")).distinct()
-    out = docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
-    if groups.count() == groups.select(id_col).distinct().count():
+    rows = store(fingerprints(docs, id_col, text_col, width))
+    links = store(linked_fingerprints(rows.select("fp").distinct(), max_distance))
+    group = components(links, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    held = store(rows.groupBy("fp", id_col, "text_hash").agg(F.count(F.lit(1)).alias("n")).join(group, "fp", "left").select(
+        F.coalesce("group", "fp").alias("group"), F.col(id_col).alias("_held_id"), F.col("text_hash").alias("_held_hash"), "n"))
+    # partial minima first, so a large group travels as one row per task
+    first = held.groupBy("group").agg(F.min(F.struct("_held_id", "_held_hash")).alias("first"))
+    gone = held.join(first, "group").where(F.struct("_held_id", "_held_hash") != F.col("first")).select("_held_id", "_held_hash").distinct()
+
+    def held_in(keys: DataFrame) -> Column:
+        return (docs[id_col].cast("long") == keys["_held_id"]) & (text_hash(docs[text_col].cast("string")) == keys["_held_hash"])
+
+    out = docs.join(gone, held_in(gone), "left_anti")
+    again = store(held.where("n > 1").select("_held_id", "_held_hash").distinct())
+    if again.isEmpty():
         return out
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(text_col, *[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]))
-    some = out.where(F.col(id_col).isNotNull()).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), first.alias("first"))
-    return some.where("first = 1").select("row.*").unionAll(out.where(F.col(id_col).isNull()))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    order = Window.partitionBy(id_col, text_hash(F.col(text_col).cast("string"))).orderBy(*columns)
+    some = out.join(again, held_in(again), "left_semi").select(F.struct(*columns).alias("row"), F.row_number().over(order).alias("first"))
+    return some.where("first = 1").select("row.*").unionAll(out.join(again, held_in(again), "left_anti"))
