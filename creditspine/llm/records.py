@@ -8,12 +8,16 @@ null), id (64 bits), bytes per token (2 or 4), number of tokens (32 bits), ids.
 
 Spark's own text writer stores the frames, byte for byte, so any file system
 works and a lost task is written again. Files follow each other in ascending
-order of id. The index, a Parquet table (file, offset, length, id, tokens), lets
-a reader fetch records in any order.
+order of id: by the number of the task, then of the file, that stand in their
+names. The index, a Parquet table written from the files as they are read back
+and checked, has one row per record: file and its numbers, offset, length, id,
+tokens ahead in the file, tokens and their checksum.
 
 Defined results: a null or empty text is a record that holds the end id. Null
 ids come first; rows that repeat an id are records of their own, in order of
-their texts. An empty table gives no records. Only the named columns are read.
+a hash of their texts, and may lie in several tasks. An empty table gives no
+records. Only the named columns are read. A file holds ``per_file`` records and
+is read whole, so these must stay below two gigabytes.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ MASK = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 FIELDS = struct.Struct("<BqBI")
 SLICE = 128
+#: Where Spark's writers put the numbers of task and file in a file's name.
+FILE_NUMBERS = {"task": r"part-(\d+)", "number": r"-c(\d+)"}
 
 
 def masked(data: bytes) -> int:
@@ -67,15 +73,6 @@ def unframe(data: bytes | memoryview, at: int) -> tuple[int | None, np.ndarray,
     return None if null else doc_id, ids, at + 5
 
 
-def heading(data: bytes, at: int) -> tuple[int | None, int, int]:
-    """(id, number of tokens, next offset) of the record at an offset, without its ids."""
-    length, check = HEAD.unpack_from(data, at)
-    if masked(data[at:at + 8]) != check:
-        raise ValueError(f"damaged record length at {at}")
-    null, doc_id, _, n = FIELDS.unpack_from(data, at + HEAD.size)
-    return None if null else doc_id, n, at + HEAD.size + length + 5
-
-
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
                   text_col: str = "text", per_file: int = 4096) -> None:
     """Encode every row and write ``folder/data`` and ``folder/index``."""
@@ -90,12 +87,13 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_
                 yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["frame"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    order = [F.col("id").asc_nulls_first()]
+    # an id that many rows repeat is dealt over several tasks
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc()]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     frames = dealt.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("maxRecordsPerFile", per_file).option("lineSep", "\n").text(f"{folder}/data")
-    # the index needs the lengths alone; whoever reads the records checks them
-    places(docs.sparkSession, folder).write.parquet(f"{folder}/index")
+    numbers = [F.regexp_extract("file", pattern, 1).cast("long").alias(name) for name, pattern in FILE_NUMBERS.items()]
+    parsed(docs.sparkSession, folder, with_ids=False).drop("ids").select("*", *numbers).write.parquet(f"{folder}/index")
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,22 +101,6 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     return read.load(f"{folder}/data").select("path", "content")
 
 
-def places(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, offset, length, id, n_tokens) of every record, from the lengths and fields that head it."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for some in frames:
-            for path, data in zip(some["path"], some["content"]):
-                rows, at = [], 0
-                while at < len(data):
-                    doc, n, end = heading(data, at)
-                    rows.append((path.rsplit("/", 1)[1], at, end - at, doc, n))
-                    at = end
-                yield _table(rows, PLACE)
-
-    return files(spark, folder).mapInPandas(run, PLACE)
-
-
 def parsed(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """Every record in the files: (file, offset, length, id, before, n_tokens, ids_crc32, ids).
 
@@ -145,7 +127,6 @@ def parsed(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame
     return files(spark, folder).mapInPandas(run, RECORD)
 
 
-PLACE = "file string, offset long, length long, id long, n_tokens long"
 RECORD = "file string, offset long, length long, id long, before long, n_tokens long, ids_crc32 long, ids binary"
 
 
@@ -158,17 +139,21 @@ def _table(rows: list[tuple], schema: str) -> pd.DataFrame:
 def read_records(spark: SparkSession, folder: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """(id_col, start, n_tokens, ids_crc32, ids) from the files; ``start`` counts all tokens ahead."""
     index = spark.read.parquet(f"{folder}/index")
-    # one row per file: its name sorts it among the files
-    ahead = F.coalesce(F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = index.groupBy("file").agg(F.sum("n_tokens").alias("tokens")).select("file", ahead.alias("ahead"))
-    rows = parsed(spark, folder, with_ids).join(F.broadcast(starts) if starts.count() <= 100_000 else starts, "file")
+    # one row per file, in the order of the numbers in its name
+    before = Window.orderBy("task", "number", "file").rowsBetween(Window.unboundedPreceding, -1)
+    per_file = index.groupBy("file", "task", "number").agg(F.sum("n_tokens").alias("tokens"))
+    starts = per_file.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("ahead"))
+    # the index was written from the files read back; the ids themselves are in the files alone
+    rows = parsed(spark, folder) if with_ids else index.withColumn("ids", F.lit(None).cast("binary"))
+    rows = rows.join(F.broadcast(starts) if starts.count() <= 100_000 else starts, "file")
     return rows.select(F.col("id").alias(id_col), (F.col("ahead") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "ids")
 
 
 def read_shuffled(spark: SparkSession, folder: str, seed: int, id_col: str = "doc_id") -> DataFrame:
     """(place, id_col, ids) in an order drawn from the index by a hash of seed, file and offset.
 
-    Each task reads a run of that order: it fetches the spans that the index names.
+    The order comes from the index; the records are read file by file, checked,
+    and shuffled to their places, as Spark reads files of any file system.
     """
     index = spark.read.parquet(f"{folder}/index").select("file", "offset", F.xxhash64("file", "offset", F.lit(seed)).alias("place"))
     rows = parsed(spark, folder).join(index, ["file", "offset"]).select("place", F.col("id").alias(id_col), "ids")

@@ -295,3 +295,44 @@ def test_pipeline_on_odd_rows(spark, some, none):
             frame = stage(spark, frame, "")
             assert frame.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert set(corpus_pipeline.STAGES[-1][1](spark, frame, "").columns) >= {"doc_id", "sequence_id", "offset", "length"}
+
+
+def test_many_files_of_a_task_and_a_hot_id(spark, tmp_path):
+    """Files are ordered by the numbers in their names, and one id spreads over tasks."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(k, f"text {k % 7}" + " more" * (k % 5), "en", "a") for k in range(2500)]
+    folder = f"{tmp_path}/many"
+    records.write_records(docs(spark, rows).coalesce(1), folder, path, 2, per_file=1)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"]) for r in records.read_records(spark, folder).collect()}
+    at = 0
+    for k in range(2500):
+        assert got[k][0] == at
+        at += got[k][1]
+    files = spark.read.parquet(f"{folder}/index").groupBy("task").agg(F.max("number").alias("n")).collect()
+    assert max(r["n"] for r in files) > 1000 or len(files) > 1
+    hot = [(7 if k % 3 else k, f"text {k}", "en", "a") for k in range(3000)]
+    records.write_records(docs(spark, hot).repartition(8), f"{tmp_path}/hot", path, 2)
+    per_task = spark.read.parquet(f"{tmp_path}/hot/index").groupBy("task").count().agg(F.max("count"), F.count("task")).first()
+    assert per_task[1] == 1 or per_task[0] < 1500
+    starts = sorted((r["start"], r["n_tokens"]) for r in records.read_records(spark, f"{tmp_path}/hot", with_ids=False).collect())
+    assert starts[0][0] == 0 and all(a[0] + a[1] == b[0] for a, b in zip(starts, starts[1:]))
+
+
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    unlike = [(1, " ".join(f"w{(k * 37 + j * 101) % 977}" for j in range(40)), "en", "a") for k in range(50)]
+    one = [(2, "a wholly different text of its own", "en", "a")]
+    kept = simhash.keep_one(docs(spark, unlike + one), width=3, max_distance=2)
+    assert kept.count() == len({r[1] for r in unlike}) + 1 == 51
+    copies = [(5, "same words here again", "en", "a"), (5, "same words here again", "de", "b"), (4, "same words here again", "en", "c"),
+              (None, "same words here again", "en", "d")]
+    kept = simhash.keep_one(docs(spark, copies), width=3, max_distance=2).collect()
+    assert sorted((str(r["doc_id"]), r["source"]) for r in kept) == [("4", "c"), ("None", "d")]
+    kept = simhash.keep_one(docs(spark, copies[:2]), width=3, max_distance=2).collect()
+    assert [(r["doc_id"], r["lang"]) for r in kept] == [(5, "de")]
+
+
+def test_signs_are_no_letters():
+    assert language.words_of("½ ² Ⅷ ③ 12 _") == []
+    assert language.words_of("x² Straße½naß éa") == ["x", "straße", "naß", "éa"]
+    for c in "½²Ⅷaß中ª":
+        assert bool(language.words_of(c)) == c.lower().isalpha()
