@@ -1,23 +1,24 @@
 """Collocations: frequent phrases whose parts keep together, by Rabin-Karp fingerprints.
 
 A text is cut at punctuation and line ends into pieces, those at blanks into
-words. A task turns a block of words into hashes and sums them into prefix
-polynomials with numpy; the difference of two prefixes is the fingerprint of the
-phrase between them, so all phrases of a length cost one subtraction each. Equal
-fingerprints of a block are counted together, after their words were compared.
-The shuffle adds the counts per fingerprint and keeps one occurrence pointer:
-hash of the text and number of the word.
-
-Lengths are counted one after the other. A phrase can be frequent only if both
-its parts without the first and without the last word are, so a pass leaves out
-phrases whose parts are missing in a bitmap of the last pass's frequent
-fingerprints. The bitmap has a bounded size; false positives cost work, never
+words. A task turns the bytes of a block into prefix polynomials with numpy; the
+difference of two prefixes is the hash of the word between them. Prefix
+polynomials over the word hashes do the same for phrases, so all phrases of a
+length cost one subtraction each, and no word becomes a Python object. Equal
+fingerprints of a task's blocks are counted together; the shuffle adds the counts
+per fingerprint and keeps one occurrence pointer: hash of the text and number of
+the word.
+
+Words, pairs and longer phrases are counted one after the other. A phrase can be
+frequent only if all its parts are, so a pass leaves out phrases with a part that
+is missing in a bitmap of the last pass's frequent fingerprints. The bitmap has a bounded size; false positives cost work, never
 rows, so results are whole at any size.
 
-Fingerprints have 64 bits. A second polynomial, over independent word hashes,
-tells phrases apart that collide; the phrases of frequent fingerprints alone are
-read back from the texts that the pointers name, and each must give both
-fingerprints again, or the text with the same hash that does is taken.
+Fingerprints have 64 bits. A mark of 32 bits from a second pair of polynomials,
+with bases and byte values of its own, tells phrases apart whose fingerprints
+collide. The phrases of frequent fingerprints alone are read back from the texts
+that the pointers name; each must give fingerprint and mark again, else the text
+with the same hash that does is taken.
 
 Defined results: a null text is empty, a null language ``und``. Ids are not
 read, so repeated rows count as often as they occur. An empty table gives no
@@ -26,9 +27,10 @@ rows. Only the two named columns are read.
 
 from __future__ import annotations
 
+import re
 import string
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import cache
 from math import ceil, log2
 
 import numpy as np
@@ -40,10 +42,13 @@ from pyspark.sql import functions as F
 
 from creditspine.llm.common import store
 
-#: Words hashed at a time in a task.
-BLOCK = 1 << 18
-#: Words whose hashes a task remembers before it begins anew.
-REMEMBERED = 1_000_000
+#: Texts taken from a batch, bytes hashed and phrases counted at a time, in a task.
+TEXTS = 256
+#: Phrases read back at a time.
+SPANS = 1 << 14
+BLOCK, GROUP = 1 << 18, 1 << 19
+#: Longest word, in bytes, whose hash is a polynomial; others are hashed one by one.
+LONGEST = 255
 #: Bits of a bitmap chunk and of a whole bitmap, at most (32 MB).
 CHUNK_BITS, MOST_BITS = 15, 28
 #: Largest list of pointers that is broadcast.
@@ -54,7 +59,8 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 MASK = (1 << 64) - 1
 
 LOWER = bytes.maketrans(string.ascii_uppercase.encode() + b"\t.,;:!?\x0b\x0c\r", string.ascii_lowercase.encode() + b" " + b"\n" * 9)
-COUNTED = "lang string, fp long, mark int, n long, key long, pos int"
+COUNTED = "lang string, fp long, mark int, n long, key long, pos int, words int"
+COLUMNS = [c.split()[0] for c in COUNTED.split(", ")]
 READ = pa.schema([("lang", pa.string()), ("fp", pa.int64()), ("mark", pa.int32()), ("n", pa.int64()), ("words", pa.int32()), ("phrase", pa.string())])
 
 
@@ -71,36 +77,41 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-class Polynomial:
-    """Fingerprints of all runs of a length in a block of word hashes, modulo 2^64."""
+@cache
+def byte_values(k: int) -> list[int]:
+    """A number for each byte, by rule."""
+    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[k])).tolist()
 
-    def __init__(self, base: int, longest: int):
-        self.up, self.down = powers(base, longest), powers(pow(base, -1, 1 << 64), longest)
 
-    def prefixes(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes) + 1, dtype=np.uint64)
-        np.cumsum(hashes * self.up[:len(hashes)], out=out[1:], dtype=np.uint64)
-        return out
+class Polynomial:
+    """Hashes of words and phrases from prefix sums modulo 2^64; ``k`` chooses base and byte values."""
 
-    def runs(self, prefixes: np.ndarray, length: int, at: np.ndarray | slice = slice(None)) -> np.ndarray:
-        last = len(prefixes) - length
-        where = np.arange(last)[at] if isinstance(at, slice) else at
-        return mix((prefixes[where + length] - prefixes[where]) * self.down[where] + np.uint64(length))
+    def __init__(self, k: int, size: int = BLOCK + 1):
+        self.k, self.base = k, BASES[k]
+        self.values = np.array(byte_values(1 - k), dtype=np.uint64)
+        self.grow(size)
 
+    def grow(self, size: int) -> None:
+        self.up, self.down = powers(self.base, size), powers(pow(self.base, -1, 1 << 64), size)
 
-class Words(dict):
-    """Number of each word, with two independent hashes."""
+    def prefixes(self, values: np.ndarray) -> np.ndarray:
+        if len(values) > len(self.up):
+            self.grow(len(values) + 1)
+        out = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * self.up[:len(values)], out=out[1:], dtype=np.uint64)
+        return out
 
-    def __init__(self):
-        super().__init__()
-        self.hashes = array("Q"), array("Q")
+    def between(self, prefixes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return (prefixes[hi] - prefixes[lo]) * self.down[lo]
 
-    def __missing__(self, word: bytes) -> int:
-        both = xxhash.xxh3_128_intdigest(word)
-        self.hashes[0].append(both & MASK)
-        self.hashes[1].append(both >> 64)
-        self[word] = len(self)
-        return len(self) - 1
+    def words(self, data: bytes, bytes_: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        out = mix(self.between(self.prefixes(self.values[bytes_]), lo, hi))
+        for i in np.flatnonzero(hi - lo > LONGEST):
+            out[i] = xxhash.xxh3_128_intdigest(data[lo[i]:hi[i]]) >> 64 * self.k & MASK
+        return out
+
+    def phrases(self, prefixes: np.ndarray, lo: np.ndarray, length: int) -> np.ndarray:
+        return mix(self.between(prefixes, lo, lo + length) + np.uint64(length))
 
 
 def language_hash(lang: str) -> int:
@@ -108,15 +119,35 @@ def language_hash(lang: str) -> int:
 
 
 def fingerprint(lang: str, words: list[bytes]) -> tuple[int, int]:
-    """Both fingerprints of one phrase, as signed numbers; the plain form of what a block computes."""
-    seed, out = language_hash(lang), []
+    """Fingerprint and mark of one phrase, as signed numbers; the plain form of what a block computes."""
+    out = []
     for k, base in enumerate(BASES):
-        parts = np.array([xxhash.xxh3_128_intdigest(w) >> 64 * k & MASK for w in words], dtype=np.uint64) ^ np.uint64(seed)
-        total = sum(int(h) * pow(base, i, 1 << 64) for i, h in enumerate(mix(parts))) + len(words) & MASK
+        values = byte_values(1 - k)
+        hashes = np.array([
+            sum(values[b] * pow(base, j, 1 << 64) for j, b in enumerate(w)) & MASK if len(w) <= LONGEST
+            else xxhash.xxh3_128_intdigest(w) >> 64 * k & MASK for w in words
+        ], dtype=np.uint64)
+        short = np.array([len(w) <= LONGEST for w in words])
+        hashes = mix(np.where(short, mix(hashes), hashes) ^ np.uint64(language_hash(lang)))
+        total = sum(int(h) * pow(base, i, 1 << 64) for i, h in enumerate(hashes)) + len(words) & MASK
         out.append(mix(np.array([total], dtype=np.uint64)))
     return int(out[0].view(np.int64)[0]), int(out[1].astype(np.uint32).view(np.int32)[0])
 
 
+def fingerprints(seeds: np.ndarray, runs: list[list[bytes]], both: tuple[Polynomial, Polynomial]) -> tuple[np.ndarray, np.ndarray]:
+    """``fingerprint`` of many phrases at once; ``seeds`` has the language hash of each."""
+    data = b" ".join(w for run in runs for w in run)
+    size = np.array([len(run) for run in runs])
+    length = np.fromiter((len(w) for run in runs for w in run), dtype=np.int64)
+    hi = np.cumsum(length + 1) - 1
+    bytes_, first, seed = np.frombuffer(data, dtype=np.uint8), np.cumsum(size) - size, np.repeat(seeds, size)
+    out = []
+    for p in both:
+        prefix = p.prefixes(mix(p.words(data, bytes_, hi - length, hi) ^ seed))
+        out.append(mix(p.between(prefix, first, first + size) + size.astype(np.uint64)))
+    return out[0].view(np.int64), out[1].astype(np.uint32).view(np.int32)
+
+
 class Bitmap:
     """Which of 2^bits ranges of fingerprints hold a frequent one."""
 
@@ -128,81 +159,126 @@ class Bitmap:
         return (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def count_block(words: list[bytes], pieces: list[tuple[int, int, int, int]], seeds: np.ndarray, memory: Words,
-                polynomials: tuple[Polynomial, Polynomial], length: int, known: Bitmap | None) -> tuple | None:
-    """Phrases of one length in a block: (lang number, fingerprint, mark, count, key, pos).
+#: Part of a text: lower-cased bytes with breaks as newlines, language number, key of the text, number of its first word,
+#: number of words that the part before it holds too.
+Part = tuple[bytes, int, int, int, int]
+
 
-    ``pieces`` are (words, lang number, key of the text, number of the first word in it).
+def hash_block(parts: list[Part], seeds: np.ndarray, both: tuple[Polynomial, Polynomial], lengths: Sequence[int],
+               known: Bitmap | None) -> Iterator[list[np.ndarray]]:
+    """Every phrase in a block, per length: [fingerprint, mark, language number, key, pos, length].
+
+    ``known`` holds the frequent phrases one word shorter than the first length.
     """
-    codes = np.fromiter(map(memory.__getitem__, words), dtype=np.int64, count=len(words))
-    if len(codes) < length:
-        return None
-    size, lang, key, first = (np.array(c) for c in zip(*pieces))
-    piece = np.repeat(np.arange(len(size)), size)
-    begin = np.cumsum(size) - size
-    seed = np.repeat(seeds[lang], size)
-    prefix = [p.prefixes(mix(np.array(h, dtype=np.uint64)[codes] ^ seed)) for p, h in zip(polynomials, memory.hashes)]
-    whole = piece[length - 1:] == piece[:len(piece) - length + 1]
-    if known is not None:
-        frequent = known.holds(polynomials[0].runs(prefix[0], length - 1))
-        whole &= frequent[:-1] & frequent[1:]
-    at = np.flatnonzero(whole)
-    if not len(at):
-        return None
-    fp = polynomials[0].runs(prefix[0], length, at)
-    order = np.argsort(fp)
-    at, fp = at[order], fp[order]
-    mark = polynomials[1].runs(prefix[1], length, at).astype(np.uint32)
-    new = np.ones(len(at), dtype=bool)
-    # equal fingerprints are one phrase only if their words and languages are
-    same = (fp[1:] == fp[:-1]) & (lang[piece[at[1:]]] == lang[piece[at[:-1]]])
-    for k in range(length):
-        same &= codes[at[1:] + k] == codes[at[:-1] + k]
-    new[1:] = ~same
-    starts = np.flatnonzero(new)
-    at, of = at[starts], piece[at[starts]]
-    counts = np.diff(np.append(starts, len(new)))
-    return lang[of], fp[starts].view(np.int64), mark[starts].view(np.int32), counts, key[of], (first[of] + at - begin[of]).astype(np.int32)
-
-
-def counted(docs: DataFrame, length: int, known=None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, fp, mark, n, key, pos): counts per task of the phrases of ``length`` words."""
+    data = b"\n".join(p[0] for p in parts)
+    bytes_ = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(bytes_) + 2, dtype=np.int8)
+    inside[1:-1] = (bytes_ != 32) & (bytes_ != 10)
+    edges = np.flatnonzero(np.diff(inside))
+    lo, hi = edges[::2], edges[1::2]
+    part_at = np.cumsum([0] + [len(p[0]) + 1 for p in parts])
+    first = np.searchsorted(lo, part_at)
+    of = np.repeat(np.arange(len(parts)), np.diff(first))
+    piece = np.cumsum(bytes_ == 10, dtype=np.int32)[lo]
+    _, lang, key, number, held = (np.array(c) for c in zip(*parts))
+    seed = seeds[lang][of]
+    prefixes = [p.prefixes(mix(p.words(data, bytes_, lo, hi) ^ seed)) for p in both]
+    shorter = lengths[0] - 1
+    if known is not None and len(lo) >= shorter:
+        frequent = known.holds(both[0].phrases(prefixes[0], np.arange(len(lo) - shorter + 1), shorter))
+    for length in lengths:
+        n = len(lo) - length + 1
+        if n < 1:
+            return
+        whole = piece[length - 1:] == piece[:n]
+        if known is not None:
+            for k in range(length - shorter + 1):
+                whole &= frequent[k:k + n]
+        at = np.flatnonzero(whole)
+        at = at[at - first[of[at]] + length > held[of[at]]]
+        if len(at):
+            here = of[at]
+            yield [
+                both[0].phrases(prefixes[0], at, length), both[1].phrases(prefixes[1], at, length).astype(np.uint32),
+                lang[here].astype(np.int32), key[here], (number[here] + at - first[here]).astype(np.int32), np.full(len(at), length, dtype=np.int32),
+            ]
+
+
+def count_equal(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """[fingerprint, mark, language number, key, pos, length, n], one of each kind."""
+    columns = [np.concatenate(c) for c in zip(*held)]
+    order = np.argsort(columns[0])
+    fp, mark = columns[0][order], columns[1][order]
+    starts = np.flatnonzero(np.append(True, (fp[1:] != fp[:-1]) | (mark[1:] != mark[:-1])))
+    return [c[order[starts]] for c in columns] + [np.diff(np.append(starts, len(order)))]
+
+
+DELIMITER = re.compile(rb"[ \n]")
+
+
+def parts_of(text: bytes, lang: int, key: int, length: int) -> Iterator[Part]:
+    """A text in parts of about a block; each run of up to ``length`` words lies whole in one of them."""
+    at, number, size, held = 0, 0, BLOCK, 0
+    while len(text) - at > size:
+        found = DELIMITER.search(text, at + size)
+        if found is None:
+            break
+        part = text[at:found.start()]
+        # the next part begins with the last words of this one
+        back, cut = part, len(part)
+        for _ in range(length - 1):
+            back = back[:cut].rstrip(b" \n")
+            cut = max(back.rfind(b" "), back.rfind(b"\n")) + 1
+        n = len(part.split())
+        if n < 2 * length:
+            size *= 2
+            continue
+        yield part, lang, key, number, held
+        at, number, size, held = at + cut, number + n - (length - 1), BLOCK, length - 1
+    yield text[at:], lang, key, number, held
+
+
+def counted(docs: DataFrame, lengths: Sequence[int], known=None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, fp, mark, n, key, pos, words): counts per task of the phrases of some lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tuple(Polynomial(b, BLOCK + length) for b in BASES)
+        both = Polynomial(0), Polynomial(1)
         bitmap = Bitmap(*known.value) if known is not None else None
-        memory, names = Words(), {}
-        words: list[bytes] = []
-        pieces: list[tuple[int, int, int, int]] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal memory
-            if pieces:
+        names: dict[str, int] = {}
+        parts: list[Part] = []
+        found: list[list[np.ndarray]] = []
+        size = rows = 0
+
+        def hash_parts() -> None:
+            nonlocal size, rows
+            if parts:
                 seeds = np.array([language_hash(n) for n in names], dtype=np.uint64)
-                found = count_block(words, pieces, seeds, memory, both, length, bitmap)
-                if found is not None:
-                    langs = pa.array(list(names), type=pa.string()).take(pa.array(found[0]))
-                    yield pa.RecordBatch.from_arrays([langs, *map(pa.array, found[1:])], names=[c.split()[0] for c in COUNTED.split(", ")])
-            words.clear()
-            pieces.clear()
-            if len(memory) > REMEMBERED:
-                memory = Words()
+                for block in hash_block(parts, seeds, both, lengths, bitmap):
+                    found.append(block)
+                    rows += len(block[0])
+            parts.clear()
+            size = 0
 
-        for batch in batches:
-            for text, lang, key in zip(*(column.to_pylist() for column in batch.columns)):
-                number, at = names.setdefault(lang, len(names)), 0
-                for piece in text.translate(LOWER).split(b"\n"):
-                    held = piece.split()
-                    if len(held) >= length:
-                        # a piece longer than a block is cut so that each run lies in one part
-                        for lo in range(0, len(held), BLOCK):
-                            begin = max(0, lo - length + 1)
-                            part = held[begin:lo + BLOCK]
-                            if len(words) + len(part) > BLOCK:
-                                yield from flush()
-                            words += part
-                            pieces.append((len(part), number, key, at + begin))
-                    at += len(held)
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal rows
+            if found:
+                fp, mark, lang, key, pos, words, n = count_equal(found)
+                found.clear()
+                rows = 0
+                langs = pa.array(list(names), type=pa.string()).take(pa.array(lang))
+                columns = [langs, *map(pa.array, (fp.view(np.int64), mark.view(np.int32), n, key, pos, words))]
+                yield from pa.Table.from_arrays(columns, names=COLUMNS).to_batches(max_chunksize=1 << 16)
+
+        for some in (batch.slice(lo, TEXTS) for batch in batches for lo in range(0, batch.num_rows, TEXTS)):
+            for text, lang, key in zip(*(column.to_pylist() for column in some.columns)):
+                for part in parts_of(text.translate(LOWER), names.setdefault(lang, len(names)), key, lengths[-1]):
+                    if size + len(part[0]) > BLOCK:
+                        hash_parts()
+                        if rows >= GROUP:
+                            yield from flush()
+                    parts.append(part)
+                    size += len(part[0]) + 1
+        hash_parts()
         yield from flush()
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -232,23 +308,25 @@ def bitmap(spark, frequent: DataFrame):
 
 def frequent_fingerprints(docs: DataFrame, longest: int, least: int, **columns) -> tuple[DataFrame, DataFrame]:
     """((lang, fp, mark, n, key, pos, words) of phrases found at least ``least`` times, (lang, n) of all words)."""
-    levels, known = [], None
-    for length in range(1, longest + 1):
-        sums = counted(docs, length, known, **columns).groupBy("lang", "fp", "mark").agg(
+    levels, known, totals = [], None, None
+    for lengths in [[1], [2], list(range(3, longest + 1))]:
+        lengths = [k for k in lengths if k <= longest]
+        if not lengths:
+            break
+        if levels:
+            known = bitmap(docs.sparkSession, levels[-1])
+        sums = counted(docs, lengths, known, **columns).groupBy("lang", "words", "fp", "mark").agg(
             F.sum("n").alias("n"), F.min("key").alias("key"), F.min_by("pos", "key").alias("pos"))
-        if length == 1:
+        if totals is None:
             # rare words are folded into one row per language, for the total
             often = F.col("n") >= least
-            sums = sums.select("lang", "n", *[F.when(often, F.col(c)).alias(c) for c in ("fp", "mark", "key", "pos")])
-            sums = sums.groupBy("lang", "fp", "mark", "key", "pos").agg(F.sum("n").alias("n"))
-            folded = store(sums)
+            sums = sums.select("lang", "n", *[F.when(often, F.col(c)).alias(c) for c in ("words", "fp", "mark", "key", "pos")])
+            folded = store(sums.groupBy("lang", "words", "fp", "mark", "key", "pos").agg(F.sum("n").alias("n")))
             totals = folded.groupBy("lang").agg(F.sum("n").alias("n"))
-            found = folded.where("fp is not null").select("lang", "fp", "mark", "n", "key", "pos")
+            found = folded.where("fp is not null")
         else:
             found = store(sums.where(F.col("n") >= least))
-        levels.append(found.withColumn("words", F.lit(length)))
-        if length < longest:
-            known = bitmap(docs.sparkSession, found)
+        levels.append(found.select("lang", "fp", "mark", "n", "key", "pos", "words"))
     out = levels[0]
     for more in levels[1:]:
         out = out.unionByName(more)
@@ -265,14 +343,18 @@ def phrases(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFr
     texts = rows.join(names, "key", "left_semi").groupBy("key", "text").agg(F.count(F.lit(1)).alias("copies"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = Polynomial(0), Polynomial(1)
         for batch in batches:
             for text, spans in zip(*(column.to_pylist() for column in batch.columns)):
-                words, rows = text.translate(LOWER).split(), []
-                for s in spans:
-                    run = words[s["pos"]:s["pos"] + s["words"]]
-                    if fingerprint(s["lang"], run) == (s["fp"], s["mark"]):
-                        rows.append({**s, "phrase": b" ".join(run).decode()})
-                yield pa.RecordBatch.from_pylist(rows, schema=READ)
+                words = text.translate(LOWER).split()
+                spans = [s for s in spans if s["pos"] + s["words"] <= len(words)]
+                for some in (spans[at:at + SPANS] for at in range(0, len(spans), SPANS)):
+                    runs = [words[s["pos"]:s["pos"] + s["words"]] for s in some]
+                    seeds = np.array([language_hash(s["lang"]) for s in some], dtype=np.uint64)
+                    again = zip(*(x.tolist() for x in fingerprints(seeds, runs, both)))
+                    rows = [{**s, "phrase": b" ".join(run).decode()} for s, run, same in zip(some, runs, again)
+                            if same == (s["fp"], s["mark"])]
+                    yield pa.RecordBatch.from_pylist(rows, schema=READ)
 
     true = texts.join(wanted, "key").select(F.col("text").cast("binary"), "spans").mapInArrow(
         read, "lang string, fp long, mark int, n long, words int, phrase string")

@@ -142,35 +142,50 @@ def test_phrases_against_plain_counts(spark, monkeypatch, seed):
     assert collected(collocations.collocations(docs(spark, rows), longest=4, least=5, share=80, top=20)) == want
 
 
-def test_phrases_of_one_long_piece_in_small_blocks():
-    rows = [b" ".join(random.Random(5).choices([b"a", b"b", b"c"], k=500))]
-    want = Counter(tuple(w[i:i + 3]) for w in [rows[0].split()] for i in range(498))
-    memory, seeds = collocations.Words(), np.array([collocations.language_hash("en")], dtype=np.uint64)
-    both = tuple(collocations.Polynomial(b, 600) for b in collocations.BASES)
-    words, got = rows[0].split(), Counter()
-    for lo in range(0, 500, 64):
-        part = words[max(0, lo - 2):lo + 64]
-        found = collocations.count_block(part, [(len(part), 0, 1, max(0, lo - 2))], seeds, memory, both, 3, None)
-        for _, fp, mark, n, _, pos in zip(*found):
-            phrase = words[pos:pos + 3]
-            assert collocations.fingerprint("en", phrase) == (fp, mark)
-            got[tuple(phrase)] += int(n)
-    assert got == want
-
-
-def test_colliding_fingerprints_stay_apart(spark, monkeypatch):
-    """With fingerprints of 3 bits nearly all phrases collide; the second one and the words tell them apart."""
-    tune(spark)
-    weak = lambda x: mix(x) & np.uint64(7)
-    mix = collocations.mix
+def counts_of(text, lengths, lang="en"):
+    """Phrases that the parts of a text give, read back by their positions."""
+    seeds = np.array([collocations.language_hash(lang)], dtype=np.uint64)
+    both = collocations.Polynomial(0), collocations.Polynomial(1)
+    parts = list(collocations.parts_of(text, 0, 1, lengths[-1]))
+    blocks = [b for part in parts for b in collocations.hash_block([part], seeds, both, lengths, None)]
+    words, got = text.split(), Counter()
+    for fp, mark, _, _, pos, size, n in zip(*collocations.count_equal(blocks)):
+        phrase = words[pos:pos + size]
+        assert collocations.fingerprint(lang, phrase) == (fp.view(np.int64), mark.view(np.int32))
+        got[tuple(phrase)] += int(n)
+    return got, len(parts)
+
+
+@pytest.mark.parametrize("lengths", [[1], [2], [3, 4], [1, 2, 3, 4]])
+def test_phrases_of_a_long_text_in_small_blocks(monkeypatch, lengths):
+    monkeypatch.setattr(collocations, "BLOCK", 64)
+    rng = random.Random(5)
+    words = rng.choices([b"a", b"bb", b"ccc"], k=500)
+    words[100] = b"x" * 700  # longer than a block
+    text = b" ".join(words)
+    got, parts = counts_of(text, lengths)
+    assert got == sum((Counter(zip(*[words[k:] for k in range(n)])) for n in lengths), Counter()) and parts > 5
+    assert counts_of(b"y" * 900, [1])[0] == {(b"y" * 900,): 1}
+
+
+def test_many_fingerprints_equal_single_ones():
+    runs = [[b"a"], [b"the", b"cat"], [b"x" * 300, "é".encode(), b"z"], [b"a", b"a", b"a", b"b"]]
+    langs = ["en", "de", "", "en"]
+    seeds = np.array([collocations.language_hash(n) for n in langs], dtype=np.uint64)
+    got = collocations.fingerprints(seeds, runs, (collocations.Polynomial(0), collocations.Polynomial(1)))
+    assert list(zip(*(x.tolist() for x in got))) == [collocations.fingerprint(n, r) for n, r in zip(langs, runs)]
+
+
+def test_colliding_fingerprints_stay_apart(monkeypatch):
+    """With fingerprints of 3 bits nearly all phrases collide; the marks tell them apart."""
+    phrases = collocations.Polynomial.phrases
+    monkeypatch.setattr(collocations.Polynomial, "phrases",
+                        lambda self, *a: phrases(self, *a) & np.uint64(7 if self.k == 0 else collocations.MASK))
     words = b"a b a b c d a b".split()
-    monkeypatch.setattr(collocations.Polynomial, "runs",
-                        lambda self, p, n, at=slice(None): weak((p[at + n] - p[at]) * self.down[at]) if not isinstance(at, slice) else None)
-    both = tuple(collocations.Polynomial(b, 20) for b in collocations.BASES)
-    seeds = np.array([1], dtype=np.uint64)
-    found = collocations.count_block(words, [(8, 0, 1, 0)], seeds, collocations.Words(), both, 2, None)
+    both = collocations.Polynomial(0), collocations.Polynomial(1)
+    blocks = list(collocations.hash_block([(b" ".join(words), 0, 1, 0, 0)], np.array([1], dtype=np.uint64), both, [2], None))
     got = Counter()
-    for n, pos in zip(found[3], found[5]):
+    for *_, pos, _, n in zip(*collocations.count_equal(blocks)):
         got[tuple(words[pos:pos + 2])] += int(n)
     assert got == Counter(zip(words, words[1:]))
 
