@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditspine import schemas as S
 from creditspine.operators.joins import label_months, prediction_labels
 from creditspine.operators.metrics import classification_metrics
+from creditspine.sources.session import cut_lineage
 
 RUN = [S.SNAPSHOT, "model_version"]
 PERFORMANCE_METRICS = ["auc", "gini", "accuracy", "precision", "recall", "f1"]
@@ -115,8 +116,11 @@ def monitoring_rows(scoring: DataFrame, missing: DataFrame, psi: DataFrame, csi:
 
     ``missing``, ``csi`` and ``pvalues`` depend on the features only and are
     keyed by snapshot; the others by snapshot and version. Every input has one
-    row per run, so these joins are small whatever the size of the tables.
+    row per run, so these joins are small whatever the size of the tables. Each
+    is stored before it is joined (eager), so no plan holds more than one test.
     """
+    scoring, missing, psi, csi, pvalues, attribution, performance = (
+        cut_lineage(t) for t in (scoring, missing, psi, csi, pvalues, attribution, performance))
     wide = (
         scoring.join(missing, S.SNAPSHOT, "left")
         .join(psi, RUN, "left")
