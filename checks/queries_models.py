@@ -14,7 +14,7 @@ from checks.registry import query
 from creditspine import schemas as S
 from creditspine.functions import cleaning as C
 from creditspine.operators import (
-    attribution, drift, encode, impute, metrics, modelling, monitor, profile, projection, ranks, scorers, splits,
+    attribution, drift, encode, impute, metrics, modelling, moments, monitor, profile, projection, ranks, scorers, splits,
 )
 from creditspine.plans import monitoring as monitoring_plan
 from creditspine.plans import training as training_plan
@@ -177,16 +177,57 @@ query("chi_square", "feature:s statistic:f dof:i p_value:f", f"SELECT feature, s
 query("correlation", "column_a:s column_b:s correlation:f", " UNION ALL ".join(
     f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS correlation FROM fin"
     for i, a in enumerate(FIN_NUMERIC) for b in FIN_NUMERIC[i + 1:]
-))(lambda t: profile.correlation_matrix(t.stored("financials"), FIN_NUMERIC))
+))(lambda t: moments.correlation_matrix(t.stored("financials"), FIN_NUMERIC))
 
 
-@query("pca_variance", "component:i explained:f cumulative:f")
+_averages = [f"avg_{c}" for c in S.CLICKSTREAM_COLS]
+O.CTES["click_means"] = (
+    f"SELECT k.Customer_ID, {', '.join(f'avg({c}) AS avg_{c}' for c in S.CLICKSTREAM_COLS)} FROM clk k JOIN labels l "
+    "ON k.Customer_ID = l.Customer_ID AND k.snapshot_date < l.snapshot_date GROUP BY k.Customer_ID"
+)
+_size = len(_averages)
+_places = f"range({_size * _size})"
+# Jacobi rotations of the correlation matrix, one row per rotation: the pair (p, q) of a step loses its off-diagonal entry
+_pairs = ", ".join(f"[{p}, {q}]" for p in range(_size) for q in range(p + 1, _size))
+_steps = 8 * _size * (_size - 1) // 2
+
+
+def _rotated(matrix: str, mine: str, partner: str) -> str:
+    """Entries of a matrix (list by rows, lambda x over places) after turning the lines p and q."""
+    return (
+        f"CASE {mine} WHEN p THEN c * {matrix}[x + 1] - s * {matrix}[{partner.format(to='q')} + 1] "
+        f"WHEN q THEN s * {matrix}[{partner.format(to='p')} + 1] + c * {matrix}[x + 1] ELSE {matrix}[x + 1] END"
+    )
+
+
+_row, _column = f"x // {_size}", f"x % {_size}"
+_eigenvalues = (
+    f"SELECT unnest(list_transform(range({_size}), lambda x: m[x * {_size + 1} + 1])) AS v FROM jacobi WHERE step = {_steps}"
+)
+O.CTES["jacobi"] = (
+    f"SELECT * FROM (WITH RECURSIVE turned AS (SELECT 0 AS step, ["
+    + ", ".join("1.0" if a == b else f"corr({min(a, b)}, {max(a, b)})" for a in _averages for b in _averages)
+    + f"]::DOUBLE[] AS m FROM click_means WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _averages)} "
+    f"UNION ALL SELECT step, list_transform({_places}, lambda x: {_rotated('h', _row, f'({{to}} * {_size} + {_column})')}) AS m FROM ("
+    f"SELECT step, p, q, c, s, list_transform({_places}, lambda x: {_rotated('m', _column, f'({_row} * {_size} + {{to}})')}) AS h FROM ("
+    "SELECT *, t * c AS s FROM (SELECT *, 1 / sqrt(t * t + 1) AS c FROM (SELECT *, CASE WHEN abs(pq) < 1e-300 THEN 0.0 "
+    "ELSE (CASE WHEN gap < 0 THEN -1 ELSE 1 END) / (abs(gap) + sqrt(gap * gap + 1)) END AS t FROM (SELECT *, "
+    f"CASE WHEN abs(pq) < 1e-300 THEN 0.0 ELSE (m[q * {_size + 1} + 1] - m[p * {_size + 1} + 1]) / (2 * pq) END AS gap FROM ("
+    f"SELECT *, m[p * {_size} + q + 1] AS pq FROM (SELECT step + 1 AS step, m, w[1 + step % len(w)][1] AS p, w[1 + step % len(w)][2] AS q "
+    f"FROM (SELECT *, [{_pairs}] AS w FROM turned WHERE step < {_steps}))))))))) SELECT * FROM turned)"
+)
+
+
+@query("pca_variance", "component:i explained:f cumulative:f", (
+    f"SELECT component, explained, sum(explained) OVER (ORDER BY component) AS cumulative FROM ("
+    f"SELECT row_number() OVER (ORDER BY v DESC) AS component, v / sum(v) OVER () AS explained FROM ({_eigenvalues})) QUALIFY component <= 9"
+))
 def _(t):
     from creditspine.operators.joins import history_means
 
     anchors = t.labels().withColumnRenamed("snapshot_date", "mob_date")
-    means = history_means(t.clickstream(), anchors, S.CLICKSTREAM_COLS, inclusive=False)
-    return profile.pca_variance(means, [f"avg_{c}" for c in S.CLICKSTREAM_COLS])
+    means = cut_lineage(history_means(t.clickstream(), anchors, S.CLICKSTREAM_COLS, inclusive=False))
+    return moments.pca_variance(means, _averages)
 
 
 query("date_ranges", "table_name:s min_date:d max_date:d", " UNION ALL ".join(

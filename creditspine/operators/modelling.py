@@ -10,13 +10,14 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from creditspine import schemas as S
+from creditspine.operators.medians import ExactMedianImputer
 from creditspine.operators.metrics import auc_by
 from creditspine.sources.session import cut_lineage
 
@@ -50,14 +51,14 @@ def prepare_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
 
 
 def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
-    """Median imputation and standardising of numbers, one-hot of categories.
+    """Exact median imputation and standardising of numbers, one-hot of categories.
 
     The indexer keeps one extra index for unseen categories and the encoder
     drops exactly that last one, so an unseen category becomes all zeros.
     """
     numeric, categorical = list(numeric), list(categorical)
     stages = [
-        Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}__filled" for c in numeric]),
+        ExactMedianImputer(numeric, [f"{c}__filled" for c in numeric]),
         VectorAssembler(inputCols=[f"{c}__filled" for c in numeric], outputCol="numeric_raw"),
         StandardScaler(inputCol="numeric_raw", outputCol="numeric_scaled", withMean=True, withStd=True),
     ]

@@ -1,4 +1,4 @@
-"""Profiling: null shares, counts, contingency, correlation, coverage, top-k.
+"""Profiling: null shares, counts, contingency, coverage, top-k.
 
 Each report is one aggregate over the table, whatever the number of columns;
 the wide one-row result is turned into rows afterwards.
@@ -7,9 +7,7 @@ the wide one-row result is turned into rows afterwards.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,29 +116,6 @@ def chi_square_independence(df: DataFrame, columns: Sequence[str], label: str =
     )
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair over pairwise complete rows:
-    ``(column_a, column_b, correlation)`` with a < b in list order, one pass."""
-    pairs = list(combinations(columns, 2))
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).agg(
-        *[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"c{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.inline(cells))
-
-
-def pca_variance(df: DataFrame, columns: Sequence[str], k: int = 9) -> DataFrame:
-    """Explained variance share of the first ``k`` components after scaling."""
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip").transform(df)
-    scaled = StandardScaler(inputCol="_v", outputCol="_z", withMean=True).fit(assembled).transform(assembled)
-    ratios = PCA(k=k, inputCol="_z", outputCol="_p").fit(scaled).explainedVariance.toArray().tolist()
-    rows = [(i + 1, float(r), float(sum(ratios[: i + 1]))) for i, r in enumerate(ratios)]
-    return df.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double")
-
-
 def date_ranges(tables: dict[str, DataFrame], date: str = S.SNAPSHOT) -> DataFrame:
     """First and last date per table."""
     out = None
