@@ -14,6 +14,8 @@ from creditspine.operators.projection import hash_order
 from creditspine.operators.ranks import hash_cuts
 
 SPLIT_NAMES = ("train", "val", "test")
+#: Label values that a stratified split counts on the driver.
+MAX_LABELS = 1000
 
 
 def _add_months(d: date, months: int) -> date:
@@ -72,10 +74,14 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
 
     Fits the hash value at each share's rank per label (two numbers a label),
     then tags every row by comparing its own key hash: the table is neither
-    sorted nor shuffled, and a rerun gives the same split.
+    sorted nor shuffled, and a rerun gives the same split. More than
+    ``MAX_LABELS`` label values are an error: such a column is no class.
     """
     hashed = df.withColumn("_order", hash_order(keys, seed))
-    totals = {r["v"]: r["n"] for r in hashed.groupBy(F.col(label).alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = hashed.groupBy(F.col(label).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    totals = {r["v"]: r["n"] for r in counts.limit(MAX_LABELS + 1).collect()}
+    if len(totals) > MAX_LABELS:
+        raise ValueError(f"stratified_split takes at most {MAX_LABELS} label values")
     if None in totals:
         raise ValueError("stratified_split needs a label on every row")
     ends = {}

@@ -110,8 +110,9 @@ def write_runs(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_preview(df: DataFrame, path: str, n: int = 1000, order: Sequence[str] = ()) -> None:
-    """First ``n`` rows as CSV (in the given order, if any)."""
-    rows = df.orderBy(*order) if order else df
+    """First ``n`` rows as CSV, in the given order; what it leaves open goes by the
+    columns in turn, so a rerun writes the same rows."""
+    rows = df.orderBy(*order, *[c for c in df.columns if c not in order])
     rows.limit(n).write.mode("overwrite").option("header", True).csv(path)
 
 

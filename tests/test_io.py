@@ -57,6 +57,14 @@ def test_preview_and_table(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "p")).count() == 10
 
 
+def test_preview_without_order_is_the_same_on_every_layout(spark, tmp_path):
+    df = spark.range(200).selectExpr("id % 7 as a", "id as b")
+    for name, parts in (("one", 1), ("many", 13)):
+        IO.write_preview(df.repartition(parts), str(tmp_path / name), 40)
+    one, many = (sorted(map(tuple, spark.read.option("header", True).csv(str(tmp_path / n)).collect())) for n in ("one", "many"))
+    assert one == many and len(one) == 40
+
+
 def test_month_spine(spark):
     b = spark.createDataFrame([(date(2024, 11, 17), date(2025, 2, 1))], "a date, b date")
     assert [str(r[0]) for r in IO.month_spine(b, "a", "b").collect()] == ["2024-11-01", "2024-12-01", "2025-01-01", "2025-02-01"]

@@ -119,3 +119,8 @@ def test_quantiles_do_not_shuffle_rows(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_stratified_split_refuses_a_column_that_is_no_class(spark):
+    with pytest.raises(ValueError, match="label values"):
+        splits.stratified_split(spark.range(splits.MAX_LABELS + 1).withColumn("label", F.col("id")), ["id"])
