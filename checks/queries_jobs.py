@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +11,12 @@ from checks.queries_models import REF_RANGE, _dist, reference
 from checks.queries_tables import KEY, LABEL_KINDS, LEDGER_KINDS
 from checks.registry import QUERIES, query
 from creditspine import schemas as S
-from creditspine.operators import drift, impute, monitor, projection, splits
+from creditspine.functions import cleaning as C
+from creditspine.operators import drift, encode, impute, monitor, projection, splits
+from creditspine.plans import gold
 from creditspine.plans import training as training_plan
 from creditspine.sources import snapshots as IO
-from creditspine.sources.session import checkpoint_root
+from creditspine.sources.session import scratch
 
 RUN_KINDS = {**KEY, "model_name": "s", "model_version": "s", "model_predictions": "f"}
 RAW_KINDS = {c.name: "s" for c in S.RAW_ATTRIBUTES} | {"snapshot_date": "d"}
@@ -24,7 +25,7 @@ MONTH = "1996-03-01"
 
 def place(t, name: str) -> str:
     """A new folder beside the intermediate tables."""
-    return f"{checkpoint_root(t.spark).rstrip('/')}/creditspine/{name}-{uuid.uuid4().hex}"
+    return scratch(t.spark, name)
 
 
 # --- sources and sinks -----------------------------------------------------------------
@@ -166,3 +167,72 @@ query("version_agreement_on_scores", "aligned:b", (
 ))(lambda t: monitor.version_agreement(drift.prediction_psi(
     projection.between_dates(t.stored("predictions"), *REF_RANGE),
     projection.between_dates(t.stored("predictions"), O.RUN_START, None)), "psi_score"))
+
+
+# --- one-hot vectors value by value, vocabularies of any size, repeated keys ----------------
+def bits(vector: str):
+    """A vector of zeros and ones as text."""
+    return F.array_join(F.transform(vector_to_array(F.col(vector)), lambda x: x.cast("int").cast("string")), "")
+
+
+def bits_sql(base: str, columns: dict[str, str]) -> str:
+    """The same in SQL: labels by falling count, ties by text; nothing is set for null."""
+    ranked = ", ".join(
+        f"r_{c} AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS i, count(*) OVER () AS size FROM "
+        f"(SELECT {c} AS v, count(*) AS n FROM base WHERE {c} IS NOT NULL GROUP BY 1))" for c in columns)
+    texts = ", ".join(
+        f"CASE WHEN r_{c}.v IS NULL THEN repeat('0', CAST((SELECT max(size) FROM r_{c}) AS INTEGER)) "
+        f"ELSE repeat('0', CAST(r_{c}.i AS INTEGER)) || '1' || repeat('0', CAST(r_{c}.size - 1 - r_{c}.i AS INTEGER)) END AS {name}"
+        for c, name in columns.items())
+    joins = " ".join(f"LEFT JOIN r_{c} ON base.{c} = r_{c}.v" for c in columns)
+    return f"WITH base AS ({base}), {ranked} SELECT loan_id, {texts} FROM base {joins}"
+
+
+_financial = {c: c.lower() for c in gold.FINANCIAL_CATEGORIES}
+query("financial_vectors", "loan_id:s " + " ".join(f"{n}:s" for n in _financial.values()), bits_sql(
+    "SELECT loan_id, coalesce(Credit_Mix, 'Unknown') AS Credit_Mix, coalesce(Payment_Behaviour, 'Unknown') AS Payment_Behaviour, "
+    "Min_Text AS Payment_of_Min_Amount FROM detail_training WHERE Monthly_Balance IS NOT NULL", _financial,
+))(lambda t: gold.financial_features(t.detail_training()).select("loan_id", *[bits(f"{c}_vec").alias(n) for c, n in _financial.items()]))
+
+_digits = "try_cast(nullif(regexp_replace(Age, '[^0-9]', '', 'g'), '') AS INTEGER)"
+query("attribute_vectors", "loan_id:s age_bits:s occ_bits:s", bits_sql(
+    f"SELECT loan_id, {O.band('age', *S.AGE_BANDS_FEATURE)} AS Age_group, CASE WHEN Occupation IS NULL THEN 'Unknown' "
+    "WHEN n < 0.05 * count(*) OVER () THEN 'Other' ELSE Occupation END AS Occ_clean FROM (SELECT loan_id, Occupation, "
+    "count(*) OVER (PARTITION BY Occupation) AS n, coalesce(v, CAST(trunc(quantile_cont(CAST(v AS DOUBLE), 0.5) OVER ()) AS INTEGER)) AS age "
+    f"FROM (SELECT loan_id, Occupation, CASE WHEN {_digits} BETWEEN 18 AND 100 THEN {_digits} END AS v FROM att_training))",
+    {"Age_group": "age_bits", "Occ_clean": "occ_bits"},
+))(lambda t: gold.attribute_features(t.attribute_training()).select(
+    "loan_id", bits("Age_group_vec").alias("age_bits"), bits("Occ_clean_vec").alias("occ_bits")))
+
+
+@query("category_index", "loan_id:s snapshot_date:d name_index:i", (
+    "SELECT loan_id, snapshot_date, dense_rank() OVER (ORDER BY loan_id) - 1 AS name_index FROM labels"
+))
+def _(t):
+    rows = t.stored("labels").select("loan_id", "snapshot_date", F.col("loan_id").alias("name"))
+    return encode.index_category(rows, "name", encode.fit_dictionary(rows, "name"))
+
+
+@query("list_entries", "Customer_ID:s index:i n:i", (
+    "WITH items AS (SELECT Customer_ID, lower(replace(trim(v), ' ', '_')) AS v FROM (SELECT Customer_ID, "
+    "unnest(string_split(replace(Type_of_Loan, ' and ', ','), ',')) AS v FROM fin_raw) WHERE trim(v) <> ''), "
+    "names AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS index FROM (SELECT DISTINCT v FROM items)) "
+    "SELECT Customer_ID, index, count(*) AS n FROM items JOIN names USING (v) GROUP BY ALL"
+))
+def _(t):
+    raw = t.stored("raw_financials")
+    known = encode.fit_dictionary(raw, F.explode(C.list_keys("Type_of_Loan")))
+    return encode.list_entries(raw, ["Customer_ID"], "Type_of_Loan", known)
+
+
+def one_hot_key(t) -> DataFrame:
+    """The label rows, a third of them under one key."""
+    hot = F.pmod(F.crc32(F.col("loan_id")), F.lit(3)) == 0
+    return t.stored("labels").withColumn("key", F.when(hot, F.lit("hot")).otherwise(F.col("loan_id")))
+
+
+query("stratified_split_repeated_keys", "label:i split:s n:i", QUERIES["stratified_split"].sql)(
+    lambda t: splits.stratified_split(one_hot_key(t), ["key"]).groupBy("label", "split").agg(F.count(F.lit(1)).alias("n")))
+query("sample_rows_repeated_keys", _same, "SELECT least(5000, count(*)) AS n, n AS n_keys, n AS n_alike FROM labels")(
+    lambda t: membership(*[projection.sample_rows(d, ["key"], 5000, 42).drop("key") for d in (
+        one_hot_key(t), one_hot_key(t).repartition(7, "label", "loan_id"))]))

@@ -1,9 +1,15 @@
 """Categorical encoders. Vocabularies are fitted once and passed in, so every
-month gets the same columns and unseen values become all zeros."""
+month gets the same columns and unseen values become all zeros.
+
+Two forms: one column per value, for vocabularies of at most ``MAX_VOCABULARY``
+values that the driver lists; and sparse, for any number of values, where the
+vocabulary is a stored dictionary of (value, index) that the rows are joined to.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
@@ -12,7 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditspine.functions import cleaning as C
+from creditspine.operators.joins import salted_join
+from creditspine.operators.ranks import BROADCAST_ROWS, running_totals
+from creditspine.sources.session import cut_and_count
 
+#: Values that become columns of their own; more are encoded sparsely.
 MAX_VOCABULARY = 1000
 
 
@@ -21,7 +31,7 @@ def _bounded(values: DataFrame, limit: int, what: str) -> list[str]:
     become columns (nothing is ever cut off silently)."""
     rows = values.orderBy(values.columns[0]).limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{what} has more than {limit} distinct values")
+        raise ValueError(f"{what} has more than {limit} distinct values: use fit_dictionary")
     return [r[0] for r in rows]
 
 
@@ -110,3 +120,61 @@ def group_rare(column: Column | str, common: Sequence[str], other: str = "Other"
     """Null to ``missing``, values outside ``common`` to ``other``."""
     c = F.col(column) if isinstance(column, str) else column
     return F.when(c.isNull(), F.lit(missing)).when(c.isin(list(common)), c).otherwise(F.lit(other))
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """Stored (value, index) rows, one per distinct value in text order, and their number."""
+
+    table: DataFrame
+    size: int
+
+
+def fit_dictionary(df: DataFrame, column: Column | str) -> Dictionary:
+    """Dictionary of the distinct non-null values of a category, of any number.
+
+    The values are numbered by ranges on the cluster; none passes the driver. A
+    list text gives its items with ``F.explode(cleaning.list_keys(column))``.
+    """
+    c = F.col(column) if isinstance(column, str) else column
+    values = df.select(c.alias("value")).select(F.col("value").cast("string")).dropna().distinct()
+    numbered = running_totals(values.withColumns({"_all": F.lit(0), "n": F.lit(1)}), ["_all"], "value", ["n"])
+    return Dictionary(*cut_and_count(numbered.select("value", F.col("n_before").alias("index"))))
+
+
+def _looked_up(rows: DataFrame, dictionary: Dictionary, on: str, how: str) -> DataFrame:
+    """``rows`` with the ``index`` of the value in column ``on``; hot values are salted where the dictionary is large."""
+    table = dictionary.table.withColumnRenamed("value", on)
+    if dictionary.size <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), on, how)
+    return salted_join(rows, table, [on], how)
+
+
+def index_category(df: DataFrame, column: str, dictionary: Dictionary) -> DataFrame:
+    """Add ``<column>_index``: the value's number in the dictionary, null for null and unseen values."""
+    rows = df.withColumn("_value", F.col(column).cast("string"))
+    found = _looked_up(rows, dictionary, "_value", "left")
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], F.col("index").alias(f"{column}_index"))
+
+
+def sparse_one_hot(df: DataFrame, column: str, dictionary: Dictionary) -> DataFrame:
+    """Add ``<column>_vec``: a sparse vector with a one at the value's index, all zeros for null and unseen values."""
+    if not dictionary.size:
+        raise ValueError(f"{column} has no value to encode")
+    index = f"{column}_index"
+    # the encoder learns the length from the column's attribute, without a scan; the number past the last is its "unseen"
+    attribute = {"ml_attr": {"type": "nominal", "num_vals": dictionary.size}}
+    known = F.coalesce(F.col(index), F.lit(dictionary.size)).cast("double")
+    rows = index_category(df, column, dictionary).withColumn(index, known.alias(index, metadata=attribute))
+    encoder = OneHotEncoder(inputCol=index, outputCol=f"{column}_vec", handleInvalid="keep", dropLast=True)
+    return encoder.fit(rows).transform(rows).drop(index)
+
+
+def list_entries(df: DataFrame, keys: Sequence[str], column: str, dictionary: Dictionary) -> DataFrame:
+    """(keys..., index, n): how often each known item occurs in a row's list text, one row per item that does.
+
+    Rows that repeat their keys add up; items outside the dictionary are left out.
+    """
+    items = df.select(*keys, F.explode(C.list_keys(column)).alias("_item"))
+    counts = items.groupBy(*keys, "_item").agg(F.count(F.lit(1)).alias("n"))
+    return _looked_up(counts, dictionary, "_item", "inner").select(*keys, "index", "n")

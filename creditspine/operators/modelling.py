@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextvars import copy_context
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -217,7 +218,9 @@ def fit_families(split: DataFrame, numeric: Sequence[str], categorical: Sequence
     try:
         ready.count()
         with ThreadPool(min(len(jobs), PARALLEL_FITS)) as pool:
-            fitted = pool.map(inheritable_thread_target(split.sparkSession)(fit), jobs)
+            # the threads write their intermediate tables into the scope of the caller
+            here = copy_context()
+            fitted = pool.map(inheritable_thread_target(split.sparkSession)(lambda job: here.copy().run(fit, job)), jobs)
     finally:
         ready.unpersist()
     out: dict[str, FittedModel] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditspine.functions import cleaning as C
-from creditspine.operators.ranks import rank_threshold
+from creditspine.operators.ranks import cut_classes, row_hash
 
 
 def enforce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -90,28 +90,27 @@ def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: i
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
-    """Up to ``n`` rows, the same ones on every run (keys must be unique).
+    """Up to ``n`` rows, the same ones on every run; keys may repeat.
 
     The cut is found on hash counts, so the rows themselves are only filtered:
     no sort and no single task that gathers the candidates of all partitions.
+    Rows that repeat the key at the cut are told apart by all their columns;
+    equal rows are taken as often as the cut leaves room.
     """
-    hashed = df.withColumn("_order", hash_order(keys, seed))
-    cut = rank_threshold(hashed, "_order", n)
-    if cut is None:
-        return df
     if n <= 0:
         return df.limit(0)
-    return hashed.where(F.col("_order") <= F.lit(cut)).drop("_order")
+    return cut_classes(df, [hash_order(keys, seed), row_hash(df, seed)], {None: [n]}).where("_class = 0").drop("_class")
 
 
 def sample_rows_by(df: DataFrame, keys: Sequence[str], by: Sequence[str], n: int, seed: int) -> DataFrame:
-    """Up to ``n`` rows of each group, the same ones on every run (keys must be unique).
+    """Up to ``n`` rows of each group, the same ones on every run; rows that repeat a key go by all their columns.
 
     All groups are sampled in one job: tasks keep their ``n`` smallest hashes of
     a group before anything is shuffled.
     """
     if not by:
         return sample_rows(df, keys, n, seed)
-    order = Window.partitionBy(*by).orderBy("_order")
-    ranked = df.withColumn("_order", hash_order(keys, seed)).withColumn("_rank", F.row_number().over(order))
-    return ranked.where(F.col("_rank") <= n).drop("_order", "_rank")
+    order = Window.partitionBy(*by).orderBy("_order", "_again")
+    hashed = df.withColumns({"_order": hash_order(keys, seed), "_again": row_hash(df, seed)})
+    ranked = hashed.withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= n).drop("_order", "_again", "_rank")

@@ -230,20 +230,23 @@ def fit_edges(df: DataFrame, columns: Sequence[str], n_bins: int, by: Sequence[s
 
 
 def hash_cuts(df: DataFrame, order: str, wanted: Mapping[object, Sequence[int]], group: str | None = None,
-              step: int = 12) -> dict[tuple[object, int], int | None]:
+              step: int = 12) -> dict[tuple[object, int], tuple[int | None, int | None]]:
     """For each group, the value of the ``r``-th smallest entry of a 64-bit hash
     column, for all wanted ranks ``r``; None when a group has no more rows.
 
+    The second number is None where the rows up to that value are exactly ``r``;
+    else more rows than wanted bear the value, and it says how many of them to take.
+
     Radix descent: each pass counts rows per next ``step`` bits, only inside the
     cells that still hold a wanted rank, so a pass is one partial aggregate
     whose result is at most ``2**step`` rows per wanted rank. The number of
     passes grows with the logarithm of the table (two for a million rows).
     """
     g = F.col(group) if group else F.lit(0)
-    found: dict[tuple[object, int], int | None] = {}
+    found: dict[tuple[object, int], tuple[int | None, int | None]] = {}
     open_cells = {(k, r): (0, None, r) for k, ranks in wanted.items() for r in ranks}  # bits, prefix, rank inside
     for key in [key for key, (_, _, r) in open_cells.items() if r <= 0]:
-        found[key] = -(1 << 63) - 1  # below every hash
+        found[key] = -(1 << 63) - 1, None  # below every hash
         del open_cells[key]
     while open_cells:
         bits = next(iter(open_cells.values()))[0]
@@ -262,20 +265,85 @@ def hash_cuts(df: DataFrame, order: str, wanted: Mapping[object, Sequence[int]],
         for (k, rank), (_, prefix, left) in open_cells.items():
             inside = [(p, n) for kk, p, n in counts if kk == (k if group else None) and (prefix is None or p >> width == prefix)]
             if sum(n for _, n in inside) <= left and prefix is None:
-                found[k, rank] = None
+                found[k, rank] = None, None
                 continue
             for p, n in inside:
                 if left <= n:
                     break
                 left -= n
             if left == n or bits + width == 64:  # the whole cell is taken: cut at its last hash
-                found[k, rank] = ((p + 1) << (64 - bits - width)) - 1
+                found[k, rank] = ((p + 1) << (64 - bits - width)) - 1, None if left == n else left
             else:
                 following[k, rank] = (bits + width, p, left)
         open_cells = following
     return found
 
 
-def rank_threshold(df: DataFrame, order: str, n: int) -> int | None:
-    """Hash value of the ``n``-th smallest row; None when there are no more rows."""
-    return hash_cuts(df, order, {None: [n]})[None, n]
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """Seeded hash of all columns that can be hashed (maps can't): equal for equal rows only."""
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind])
+
+
+def cut_classes(df: DataFrame, orders: Sequence[Column], wanted: Mapping[object, Sequence[int]],
+                group: str | None = None, name: str = "_class") -> DataFrame:
+    """Add ``name``: how many of its group's ``wanted`` ranks each row lies beyond (null groups: 0).
+
+    Rows are ranked by the first of ``orders`` (64-bit hashes), rows that tie
+    there by the next, and rows that tie in all of them, which are equal rows
+    if the last one hashes all columns, by number. So a class has exactly the
+    rows that its ranks say, also where one key holds most of the table. The
+    rows are only filtered and tagged; just those tied at a wanted rank are
+    stored, and never meet in one task.
+    """
+    depth = len(orders)
+    order, cell, more = f"_order{depth}", f"_cell{depth}", f"_more{depth}"
+    hashed = df.withColumn(order, orders[0])
+    cuts = hash_cuts(hashed, order, {v: sorted(set(ranks)) for v, ranks in wanted.items()}, group)
+
+    def of(value) -> Column:
+        return F.col(group) == F.lit(value) if group else F.lit(True)
+
+    def beyond(cut: int | None) -> Column:
+        if cut is None:
+            return F.lit(0)
+        return F.lit(1) if cut < -(1 << 63) else (F.col(order) > F.lit(cut)).cast("int")
+
+    passed, tie, inside = F.lit(0), F.lit(None).cast("int"), {}
+    for value, ranks in wanted.items():
+        passed = F.when(of(value), sum((beyond(cuts[value, r][0]) for r in ranks), F.lit(0))).otherwise(passed)
+        for r in ranks:
+            cut, part = cuts[value, r]
+            if part is not None:
+                inside.setdefault((value, cut), []).append(part)
+    tagged = hashed.withColumn(name, passed)
+    if not inside:
+        return tagged.drop(order)
+    for n, (value, cut) in enumerate(inside):
+        tie = F.when(of(value) & (F.col(order) == F.lit(cut)), F.lit(n)).otherwise(tie)
+    tagged = tagged.withColumn(cell, tie).drop(order)
+    tied = cut_lineage(tagged.where(F.col(cell).isNotNull()))
+    parts = dict(enumerate(inside.values()))
+    ranked = cut_classes(tied, orders[1:], parts, cell, more) if depth > 1 else _numbered_classes(tied, parts, cell, more)
+    loose = tagged.where(F.col(cell).isNull()).drop(cell)
+    return loose.unionByName(ranked.withColumn(name, F.col(name) + F.col(more)).drop(cell, more))
+
+
+def _numbered_classes(rows: DataFrame, wanted: Mapping[int, Sequence[int]], cell: str, name: str,
+                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """As ``cut_classes`` for stored rows that are alike inside a cell: any numbering gives the same table.
+
+    Cells are cut into ranges of about ``rows_per_range`` rows; a row's number is
+    the size of the ranges before its own plus its number there.
+    """
+    ranges = math.ceil(rows.count() / rows_per_range)
+    salted = cut_lineage(rows.withColumn("_range", F.pmod(F.monotonically_increasing_id(), F.lit(ranges))))
+    before = Window.partitionBy(cell).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = salted.groupBy(cell, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets, n_offsets = cut_and_count(sizes.select(cell, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    own = F.row_number().over(Window.partitionBy(cell, "_range").orderBy("_range"))
+    numbered = salted.withColumn("_own", own).join(small(offsets, n_offsets), [cell, "_range"])
+    number = F.col("_before") + F.col("_own")
+    passed = F.lit(0)
+    for value, ranks in wanted.items():
+        passed = F.when(F.col(cell) == value, sum(((number > r).cast("int") for r in ranks), F.lit(0))).otherwise(passed)
+    return numbered.withColumn(name, passed).drop("_range", "_own", "_before")

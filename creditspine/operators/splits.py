@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creditspine import schemas as S
 from creditspine.operators.projection import hash_order
-from creditspine.operators.ranks import hash_cuts
+from creditspine.operators.ranks import cut_classes, row_hash
 
 SPLIT_NAMES = ("train", "val", "test")
 #: Label values that a stratified split counts on the driver.
@@ -70,15 +70,15 @@ def split_by_dates(df: DataFrame, w: TimeWindows) -> tuple[DataFrame, DataFrame]
 
 def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
                      shares: Sequence[float] = S.SPLIT_SHARES, seed: int = 88) -> DataFrame:
-    """Add ``split`` so that each label keeps the shares exactly (keys unique).
+    """Add ``split`` so that each label keeps the shares exactly; keys may repeat.
 
     Fits the hash value at each share's rank per label (two numbers a label),
     then tags every row by comparing its own key hash: the table is neither
-    sorted nor shuffled, and a rerun gives the same split. More than
-    ``MAX_LABELS`` label values are an error: such a column is no class.
+    sorted nor shuffled, and a rerun gives the same split. Rows that repeat the
+    key at a cut are divided by all their columns, equal rows by number. More
+    than ``MAX_LABELS`` label values are an error: such a column is no class.
     """
-    hashed = df.withColumn("_order", hash_order(keys, seed))
-    counts = hashed.groupBy(F.col(label).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(F.col(label).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     totals = {r["v"]: r["n"] for r in counts.limit(MAX_LABELS + 1).collect()}
     if len(totals) > MAX_LABELS:
         raise ValueError(f"stratified_split takes at most {MAX_LABELS} label values")
@@ -88,18 +88,9 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
     for value, n in totals.items():
         n_train = round(n * shares[0])
         ends[value] = (n_train, n_train + round((n - n_train) * shares[1] / (shares[1] + shares[2])))
-    cuts = hash_cuts(hashed, "_order", {v: sorted(set(e)) for v, e in ends.items()}, label)
-    split = F.lit(None).cast("string")
-    for value, (train_end, val_end) in ends.items():
-        here = F.lit(SPLIT_NAMES[2])
-        for name, end in ((SPLIT_NAMES[1], val_end), (SPLIT_NAMES[0], train_end)):
-            cut = cuts[value, end]
-            if cut is None:
-                here = F.lit(name)
-            elif cut >= -(1 << 63):
-                here = F.when(F.col("_order") <= F.lit(cut), name).otherwise(here)
-        split = F.when(F.col(label) == value, here).otherwise(split)
-    return hashed.withColumn("split", split).drop("_order")
+    tagged = cut_classes(df, [hash_order(keys, seed), row_hash(df, seed)], ends, label)
+    names = F.array(*[F.lit(name) for name in SPLIT_NAMES])
+    return tagged.withColumn("split", F.get(names, F.col("_class"))).drop("_class")
 
 
 def random_split(df: DataFrame, keys: Sequence[str], share: float = 0.7, seed: int = 88) -> DataFrame:

@@ -16,8 +16,10 @@ from creditspine.operators.joins import feature_store, history_means, join_all,
 from creditspine.operators.ledger import build_labels
 from creditspine.operators.projection import numeric_columns
 from creditspine.plans.silver import financial_ratios
+from creditspine.sources.session import cut_lineage, scoped
 from creditspine.sources.snapshots import Datamart, read_history, write_snapshot, write_table
 
+# The columns that these feature sets encode and cap
 DETAIL_CATEGORIES = [
     "occupation", "payment_of_min_amount", "credit_mix", "payment_behaviour_spent", "payment_behaviour_value",
 ]
@@ -55,14 +57,18 @@ def run_training_table(spark: SparkSession, mart: Datamart, months: int = S.MOB_
 
 def imputed_training(features: DataFrame, labels: DataFrame, occupations: Sequence[str] | None = None,
                      months: int = S.MOB_CUTOFF, exact: bool = True) -> DataFrame:
-    """Training rows keyed by label date, medians filled, occupation as flags."""
-    joined = label_join(features, labels, months, "forward")
+    """Training rows keyed by label date, medians filled, occupation as flags.
+
+    The joined rows are stored: both fits and the result read them from there.
+    """
+    joined = cut_lineage(label_join(features, labels, months, "forward"))
     columns = [c for c in S.MEDIAN_IMPUTE_COLS if c in joined.columns]
     filled = impute.fill(joined, impute.fit_medians(joined, columns, exact))
     vocabulary = encode.fit_vocabulary(joined, "Occupation") if occupations is None else list(occupations)
     return encode.one_hot(filled, "Occupation", vocabulary).drop("Occupation")
 
 
+@scoped
 def run_imputed_training(spark: SparkSession, mart: Datamart, months: int = S.MOB_CUTOFF) -> None:
     """Write the imputed training table after the null gate has passed."""
     features = read_history(spark, mart.path("gold", "feature_store"))
@@ -75,7 +81,8 @@ def run_imputed_training(spark: SparkSession, mart: Datamart, months: int = S.MO
 def detail_features(attributes: DataFrame, financials: DataFrame, loan_types: DataFrame, clickstream: DataFrame,
                     ledger: DataFrame, labels: DataFrame, encoder: PipelineModel | None = None) -> DataFrame:
     """Feature store of the lenient tables: joins, label filter, mean filling,
-    exploded one-hot columns and clickstream means up to the first month."""
+    exploded one-hot columns and clickstream means up to the first month. The
+    joined rows are stored: both fits and the result read them from there."""
     keys = ["customer_id", "snapshot_date"]
     joined = join_all([attributes, financials, loan_types.drop("type_of_loan")], keys)
     joined = joined.drop("name", "ssn", "credit_history_age")
@@ -84,6 +91,7 @@ def detail_features(attributes: DataFrame, financials: DataFrame, loan_types: Da
     joined = joined.withColumn(
         "credit_history_age_month", F.col("credit_history_age_year") * 12 + F.col("credit_history_age_month")
     ).drop("credit_history_age_year")
+    joined = cut_lineage(joined)
     filled = impute.fill(joined, impute.fit_means(joined, numeric_columns(joined)))
     if encoder is None:
         encoder = encode.fit_one_hot_ml(filled, DETAIL_CATEGORIES)
@@ -98,12 +106,15 @@ def financial_features(training: DataFrame, exact: bool = True) -> DataFrame:
 
     Expects typed financials with the text categories kept (Credit_Mix,
     Payment_Behaviour, Payment_of_Min_Amount, Credit_History_Age, Type_of_Loan).
+    The rows are stored before the first fit: all three fits and the result read
+    them from there, so the sources are scanned and joined once.
     """
     df = training.withColumns({
         "Credit_Mix": C.fill_category("Credit_Mix"),
         "Payment_Behaviour": C.fill_category("Payment_Behaviour"),
         "Changed_Credit_Limit": F.coalesce("Changed_Credit_Limit", F.lit(0.0)),
     }).where(F.col("Monthly_Balance").isNotNull())
+    df = cut_lineage(df)
     df = impute.fill(df, impute.fit_medians(df, ["Outstanding_Debt"], exact))
     df = df.withColumns({
         "credit_history_months": C.duration_to_months("Credit_History_Age", months_required=False),
@@ -123,8 +134,9 @@ def financial_features(training: DataFrame, exact: bool = True) -> DataFrame:
 
 def attribute_features(training: DataFrame, exact: bool = True) -> DataFrame:
     """Modelling features of the attributes: age filled and banded, rare
-    occupations grouped, both one-hot encoded."""
-    df = training.withColumn("Age_clean", C.digits_only("Age"))
+    occupations grouped, both one-hot encoded. The rows are stored before the
+    first fit: all fits and the result read them from there."""
+    df = cut_lineage(training.withColumn("Age_clean", C.digits_only("Age")))
     median = impute.fit_medians(df, ["Age_clean"], exact)
     edges, labels = S.AGE_BANDS_FEATURE
     common = encode.fit_common_values(df, "Occupation")

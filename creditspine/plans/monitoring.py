@@ -14,7 +14,7 @@ from creditspine.operators import drift, monitor
 from creditspine.operators.modelling import FittedModel, compare_models, score, scoring_metadata
 from creditspine.operators.profile import missing_by_group
 from creditspine.sources.models import load_model, side_table
-from creditspine.sources.session import cut_lineage
+from creditspine.sources.session import cut_lineage, scoped
 from creditspine.sources.snapshots import Datamart, exists, read_history, write_runs, write_snapshot
 
 #: Names of the stored tables of a ``Reference``.
@@ -96,6 +96,7 @@ def run_state(spark: SparkSession, mart: Datamart, numeric: Sequence[str], categ
     return read_history(spark, path).where(inside & F.col("feature").isin(*numeric, *categorical))
 
 
+@scoped
 def run_monitoring(spark: SparkSession, mart: Datamart, bank: str, version: str, start, end=None, refresh: bool = False) -> None:
     """Monitor the months in ``[start, end]`` of one model and store the rows.
 
@@ -113,6 +114,7 @@ def run_monitoring(spark: SparkSession, mart: Datamart, bank: str, version: str,
     write_runs(monitor_model(features, preds, labels, reference, model, state), mart.path("gold", "monitoring"))
 
 
+@scoped
 def run_comparison(spark: SparkSession, mart: Datamart, bank: str, champion: str, challenger: str, date) -> None:
     """Store the champion/challenger comparison row of one date."""
     metrics = side_table(spark, bank, champion, "metrics").unionByName(side_table(spark, bank, challenger, "metrics"))

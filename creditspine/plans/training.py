@@ -15,7 +15,7 @@ from creditspine.operators.projection import feature_columns, sample_rows
 from creditspine.operators.splits import TimeWindows, stratified_split, tag_windows, time_windows
 from creditspine.plans.monitoring import fit_reference
 from creditspine.sources.models import model_version, save_model
-from creditspine.sources.session import cut_lineage
+from creditspine.sources.session import cut_lineage, scoped
 from creditspine.sources.snapshots import Datamart, read_history
 
 REFERENCE_ROWS = 5000
@@ -82,6 +82,7 @@ def train(training: DataFrame, train_date: str = S.TRAIN_DATE, train_months: int
     )
 
 
+@scoped
 def run_training(spark: SparkSession, mart: Datamart, bank: str, train_date: str = S.TRAIN_DATE,
                  train_months: int = S.TRAIN_TEST_MONTHS, oot_months: int = S.OOT_MONTHS,
                  grids: dict | None = None) -> list[str]:

@@ -5,6 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +59,51 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/creditspine/{name}-{uuid.uuid4().hex}"
+    folder = _SCOPE.get() or f"{checkpoint_root(spark).rstrip('/')}/creditspine/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+#: Folder of the innermost open scope of this thread.
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside are deleted when the block ends, also after an error.
+
+    What leaves the block must be written elsewhere first: a lazy DataFrame that
+    reads such a table can't be run afterwards. Scopes nest; other threads and
+    sessions keep their own tables.
+    """
+    folder = scratch(spark, "scope")
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        delete_folder(spark, folder)
+
+
+def scoped(job: Callable) -> Callable:
+    """For jobs ``(spark, ...)`` that write their results: a scope of their own."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        with scratch_scope(spark):
+            return job(spark, *args, **options)
+
+    return run
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application; results that still read one can't be run again."""
+    delete_folder(spark, f"{checkpoint_root(spark).rstrip('/')}/creditspine/{spark.sparkContext.applicationId}")
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that holds it; a missing one is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
