@@ -328,22 +328,28 @@ def cut_classes(df: DataFrame, orders: Sequence[Column], wanted: Mapping[object,
     return loose.unionByName(ranked.withColumn(name, F.col(name) + F.col(more)).drop(cell, more))
 
 
-def _numbered_classes(rows: DataFrame, wanted: Mapping[int, Sequence[int]], cell: str, name: str,
-                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """As ``cut_classes`` for stored rows that are alike inside a cell: any numbering gives the same table.
+def number_alike(rows: DataFrame, alike: str, name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Add ``name``: the rows with one value of ``alike`` numbered from 1.
 
-    Cells are cut into ranges of about ``rows_per_range`` rows; a row's number is
-    the size of the ranges before its own plus its number there.
+    Which of them gets which number depends on the layout, so the table is the
+    same on every run only if such rows are equal. Eager: the rows are stored and
+    cut into ranges of about ``rows_per_range``; a row's number is the size of the
+    ranges before its own plus its number there, so a hot value is many tasks.
     """
-    ranges = math.ceil(rows.count() / rows_per_range)
-    salted = cut_lineage(rows.withColumn("_range", F.pmod(F.monotonically_increasing_id(), F.lit(ranges))))
-    before = Window.partitionBy(cell).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = salted.groupBy(cell, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    offsets, n_offsets = cut_and_count(sizes.select(cell, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    own = F.row_number().over(Window.partitionBy(cell, "_range").orderBy("_range"))
-    numbered = salted.withColumn("_own", own).join(small(offsets, n_offsets), [cell, "_range"])
-    number = F.col("_before") + F.col("_own")
+    salted, n_rows = cut_and_count(rows.withColumn("_at", F.monotonically_increasing_id()))
+    salted = salted.withColumn("_range", F.pmod("_at", F.lit(max(1, math.ceil(n_rows / rows_per_range))))).drop("_at")
+    before = Window.partitionBy(alike).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = salted.groupBy(alike, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets, n_offsets = cut_and_count(sizes.select(alike, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    own = F.row_number().over(Window.partitionBy(alike, "_range").orderBy("_range"))
+    numbered = salted.withColumn("_own", own).join(small(offsets, n_offsets), [alike, "_range"])
+    return numbered.withColumn(name, F.col("_before") + F.col("_own")).drop("_range", "_own", "_before")
+
+
+def _numbered_classes(rows: DataFrame, wanted: Mapping[int, Sequence[int]], cell: str, name: str,
+                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """As ``cut_classes`` for rows that are alike inside a cell: any numbering gives the same table."""
     passed = F.lit(0)
     for value, ranks in wanted.items():
-        passed = F.when(F.col(cell) == value, sum(((number > r).cast("int") for r in ranks), F.lit(0))).otherwise(passed)
-    return numbered.withColumn(name, passed).drop("_range", "_own", "_before")
+        passed = F.when(F.col(cell) == value, sum(((F.col("_number") > r).cast("int") for r in ranks), F.lit(0))).otherwise(passed)
+    return number_alike(rows, cell, "_number", rows_per_range).withColumn(name, passed).drop("_number")
