@@ -7,14 +7,12 @@ columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditspine.llm import language, lines, mixing, packing, simhash
-from creditspine.sources.session import checkpoint_root, tune
+from creditspine.sources.session import delete_folder, scratch, scratch_scope, tune
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +56,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the whole table of documents."""
-    out = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows for the whole table of documents.
+
+    What a stage stores on its way goes when its result is written, and that
+    result when the next one is, so at most two copies of the corpus lie stored.
+    """
+    out, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        folder = f"{checkpoint_root(spark).rstrip('/')}/creditspine/{name}-{uuid.uuid4().hex}"
-        stage(spark, out, sf_dir).write.parquet(folder)
-        out = spark.read.parquet(folder)
+        folder = scratch(spark, name)
+        with scratch_scope(spark):
+            stage(spark, out, sf_dir).write.parquet(folder)
+        if before:
+            delete_folder(spark, before)
+        out, before = spark.read.parquet(folder), folder
     return STAGES[-1][1](spark, out, sf_dir)

@@ -5,9 +5,10 @@ sequence. Pieces are dealt by a hash of their row into groups of bounded size.
 A group starts from best fit over decreasing lengths; then a local search works
 on its underfull bins: from the emptiest bin it moves a piece to a bin with
 room, or exchanges one piece for a smaller one, or one piece for two that are
-smaller together. Every step raises the sum of squared fills, so it ends; a bin
-that is emptied is gone. Pieces of bins that stay underfull are dealt once more
-and packed again.
+smaller together. Every step raises the sum of squared fills, so the search ends
+of itself, when no step is left between any two bins; a bin that is emptied is
+gone. Pieces of bins that stay underfull are dealt and packed again, until one
+group holds them all or few of them find a better place.
 
 Defined results: a null or empty text is one piece that holds the end id. Rows
 with null or repeated ids are packed like any other. An empty table gives no
@@ -121,32 +122,43 @@ def _best_exchange(low: list[int], bins: list[list[int]], others: list[int], fil
     return best
 
 
-def improve(bins: list[list[int]], size: np.ndarray, capacity: int, width: int = 64, steps: int = 2000) -> list[list[int]]:
-    """Local search of at most ``steps`` tries; one looks at the ``width`` emptiest other bins that have room."""
+def improve(bins: list[list[int]], size: np.ndarray, capacity: int, width: int = 64) -> list[list[int]]:
+    """Local search until no step is left or the bins are as few as the tokens allow.
+
+    The emptiest bin looks for a partner among the others, ``width`` at a time
+    from the emptiest on, and takes the best step of the first lot that has one.
+    A bin that found none waits until a bin changes, and then looks at that one alone.
+    """
     bins = [list(b) for b in bins]
     fill = np.array([int(size[b].sum()) for b in bins], dtype=np.int64)
     least = -(-int(size.sum()) // capacity)
     alive = int((fill > 0).sum())
-    stuck: set[int] = set()
-    for _ in range(steps):
-        if alive <= least:
-            break
+    seen: dict[int, set[int]] = {}  # bins that a bin tried in vain
+    while alive > least:
         under = [int(b) for b in np.argsort(fill, kind="stable") if 0 < fill[b] < capacity]
-        low = next((b for b in under if b not in stuck), None)
-        if low is None:
-            break
-        others = [b for b in under if b != low and fill[b] >= fill[low]][:width]
-        step = _best_exchange(bins[low], bins, others, fill, size, capacity)
+        step = None
+        for low in under:
+            known = seen.setdefault(low, set())
+            others = [b for b in under if b != low and fill[b] >= fill[low] and b not in known]
+            for lo in range(0, len(others), width):
+                step = _best_exchange(bins[low], bins, others[lo:lo + width], fill, size, capacity)
+                if step is not None:
+                    break
+                known.update(others[lo:lo + width])
+            if step is not None:
+                break
         if step is None:
-            stuck.add(low)
-            continue
+            break
         gain, out, back, o = step
         bins[low] = [k for k in bins[low] if k not in out] + back
         bins[o] = [k for k in bins[o] if k not in back] + out
         fill[low] -= gain
         fill[o] += gain
-        stuck.clear()
         alive -= not bins[low]
+        for changed in (low, o):
+            seen.pop(changed, None)
+        for known in seen.values():
+            known -= {low, o}
     return [b for b in bins if b]
 
 
@@ -173,17 +185,24 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_tokens: int = 1 << 21, o
     """Adds ``sequence_id`` and ``offset``; ``pieces`` needs a column ``length``, others are carried along.
 
     A group of about ``group_tokens`` tokens is packed in one task. Bins filled
-    less than ``open_below`` after the first pass are taken apart and packed again.
+    less than ``open_below`` are taken apart and packed again with those of other
+    groups, until one group holds all or a pass leaves over half of its tokens open.
     """
     # a number, written with its row, deals even equal rows to different groups
     rows = store(pieces.withColumn("_row", F.monotonically_increasing_id()))
-    lengths = rows.select("_row", "length")
-    first = store(_place(lengths, capacity, group_tokens, open_below))
-    taken = (first.agg(F.max("sequence_id")).first()[0] or 0) + 1
-    again = store(lengths.join(first.where("_open").select("_row"), "_row"))
-    second = _place(again, capacity, group_tokens, open_below).withColumn("sequence_id", F.col("sequence_id") + taken)
-    placed = first.where("not _open").unionAll(second).drop("_open")
-    return rows.join(placed, "_row").drop("_row")
+    left = rows.select("_row", "length")
+    tokens, taken, placed = left.agg(F.sum("length")).first()[0] or 0, 0, None
+    while True:
+        dealt = store(_place(left, capacity, group_tokens, open_below).withColumn("sequence_id", F.col("sequence_id") + taken))
+        again = store(left.join(dealt.where("_open").select("_row"), "_row"))
+        still = again.agg(F.sum("length")).first()[0] or 0
+        last = tokens <= group_tokens or 2 * still > tokens or not still
+        done = (dealt if last else dealt.where("not _open")).drop("_open")
+        placed = done if placed is None else placed.unionAll(done)
+        if last:
+            return rows.join(placed, "_row").drop("_row")
+        taken = dealt.agg(F.max("sequence_id")).first()[0] + 1
+        left, tokens = again, still
 
 
 def sequences(packed: DataFrame) -> DataFrame:

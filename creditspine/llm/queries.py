@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from creditspine.llm import (
     collocations, embeddings, filter_audit, harmonic, language, lines, mixing, neighbours, packing, records, secret_scan, simhash, urls,
 )
 from creditspine.llm.common import read
-from creditspine.sources.session import checkpoint_root, tune
+from creditspine.sources.session import scratch, tune
 
 
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +65,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{checkpoint_root(tune(spark)).rstrip('/')}/creditspine/records-{uuid.uuid4().hex}"
+    folder = scratch(tune(spark), "records")
     docs = read(spark, sf_dir, "documents")
     records.write_records(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return records.read_records(spark, folder, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
