@@ -33,9 +33,8 @@ from pyspark.sql.types import StructType
 
 from creditspine.llm.common import store
 
-#: Signs that Python counts as word characters but not as letters or digits, such as fractions and Roman numerals.
-SIGNS = "".join(c for c in re.findall(r"[^\W\d_]", "".join(map(chr, range(0x110000)))) if not c.isalpha())
-LETTERS = re.compile(rf"[^\W\d_{re.escape(SIGNS)}]+")
+#: Letters, and signs that Python counts as word characters but not as letters or digits, such as fractions and Roman numerals.
+RUNS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: A longer word is scored in parts of this length.
 LONGEST = 40
@@ -50,7 +49,9 @@ UND = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    found = LETTERS.findall((text or "").lower())
+    found = RUNS.findall((text or "").lower())
+    if not all(map(str.isalpha, found)):  # a pattern without the signs would look each character up among hundreds of them
+        found = [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
     if any(len(w) > LONGEST for w in found):
         found = [w[k:k + LONGEST] for w in found for k in range(0, len(w), LONGEST)]
     return found
@@ -60,7 +61,7 @@ def vocabulary(path: str) -> list[str]:
     """Pieces of letters, with or without the mark of a word start."""
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (sp.id_to_piece(i) for i in range(sp.vocab_size()) if not sp.is_control(i) and not sp.is_unknown(i) and not sp.is_byte(i))
-    return sorted({p for p in pieces if LETTERS.fullmatch(p.removeprefix(START) or "a") and p == p.lower()})
+    return sorted({p for p in pieces if (p.removeprefix(START) or "a").isalpha() and p == p.lower()})
 
 
 def lattice(words: list[str], index: dict[str, int], longest: int) -> np.ndarray:
