@@ -15,9 +15,19 @@ from creditspine.llm import language, lines, mixing, packing, simhash
 from creditspine.sources.session import delete_folder, scratch, scratch_scope, tune
 
 
+#: Documents handed to a Python worker at a time: long texts in Spark's 10,000 fill hundreds of MB on both sides.
+DOCS_PER_BATCH = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings of the stages that run Python over texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(DOCS_PER_BATCH))
+    return tune(spark)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; texts without letters go."""
-    tune(spark)
+    prepared(spark)
     model = language.fit(docs, public_tokenizers.path("piece_bpe_32k.model"), F.lit(True))
     return language.keep_identified(docs, model)
 
@@ -39,6 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in a training sequence."""
+    prepared(spark)
     pieces = packing.cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return packing.pack(packing.with_checksum(pieces))
 
