@@ -12,7 +12,7 @@ from creditspine import schemas as S
 from creditspine.functions import cleaning as C
 from creditspine.functions import ratios as R
 from creditspine.operators import encode, impute
-from creditspine.operators.joins import feature_store, history_means, join_all, label_join, with_labels_only
+from creditspine.operators.joins import feature_store, history_means, join_all, label_join, shuffled, with_labels_only
 from creditspine.operators.ledger import build_labels
 from creditspine.operators.projection import numeric_columns
 from creditspine.plans.silver import financial_ratios
@@ -87,7 +87,7 @@ def detail_features(attributes: DataFrame, financials: DataFrame, loan_types: Da
     joined = join_all([attributes, financials, loan_types.drop("type_of_loan")], keys)
     joined = joined.drop("name", "ssn", "credit_history_age")
     named = labels.select(F.col(S.CUSTOMER).alias("customer_id")).distinct()
-    joined = joined.join(named, "customer_id", "left_semi")
+    joined = joined.join(shuffled(named), "customer_id", "left_semi")
     joined = joined.withColumn(
         "credit_history_age_month", F.col("credit_history_age_year") * 12 + F.col("credit_history_age_month")
     ).drop("credit_history_age_year")
@@ -98,7 +98,7 @@ def detail_features(attributes: DataFrame, financials: DataFrame, loan_types: Da
     wide = encode.apply_one_hot_ml(filled, encoder, explode=True)
     starts = ledger.where(F.col("mob") == 0).select(S.CUSTOMER, F.col(S.SNAPSHOT).alias("mob_date"))
     means = history_means(clickstream, starts, S.CLICKSTREAM_COLS, inclusive=True)
-    return wide.join(means.withColumnRenamed(S.CUSTOMER, "customer_id"), "customer_id", "left")
+    return wide.join(shuffled(means.withColumnRenamed(S.CUSTOMER, "customer_id")), "customer_id", "left")
 
 
 def financial_features(training: DataFrame, exact: bool = True) -> DataFrame:

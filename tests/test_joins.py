@@ -61,3 +61,22 @@ def test_latest_record(spark):
     assert sorted(map(tuple, out.collect())) == [("c", 2), ("d", 3)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan  # one row per key before the shuffle
+
+
+def test_joins_of_growing_tables_are_not_broadcast(spark, capsys):
+    def table(*columns):
+        return spark.range(20).select(
+            F.concat(F.lit("c"), "id").alias("Customer_ID"), F.lit("2024-01-01").cast("date").alias("snapshot_date"),
+            *[F.col("id").alias(c) for c in columns])
+
+    for joined in (
+        joins.feature_store(table("a"), table("b"), table("c")),
+        joins.label_join(table("a"), table("label")),
+        joins.join_all([table("a"), table("b")], ["Customer_ID", "snapshot_date"]),
+        joins.with_labels_only(table("a"), table("label")),
+        joins.prediction_labels(table("score"), table("label")),
+        joins.same_date_labels(table("a"), table("label")),
+    ):
+        joined.collect()
+        joined.explain()
+        assert "Broadcast" not in capsys.readouterr().out
