@@ -33,8 +33,9 @@ MODEL_SEED = 611
 MISSING_CATEGORY = "Unknown"
 #: Candidates fitted at the same time.
 PARALLEL_FITS = 8
-#: Rows of a part of the table that candidates are fitted from.
+#: Rows of a part of the table that candidates are fitted from, up to two parts a core; then up to the larger number.
 ROWS_PER_PART = 1 << 14
+MOST_ROWS_PER_PART = 1 << 18
 
 
 def usable_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -236,8 +237,10 @@ def fit_families(split: DataFrame, numeric: Sequence[str], categorical: Sequence
 
 
 def evened(df: DataFrame) -> DataFrame:
-    """As many parts of equal size as the rows fill; every level of a tree is one job over them."""
-    return df.repartition(max(1, -(-df.count() // ROWS_PER_PART)))
+    """As many parts of equal size as the rows fill, up to two a core; every level of a
+    tree and every step of a descent is one job over them, and each task reports to the driver."""
+    rows, most = df.count(), 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(-(-rows // ROWS_PER_PART), most), -(-rows // MOST_ROWS_PER_PART)))
 
 
 def score(df: DataFrame, model: FittedModel) -> DataFrame:

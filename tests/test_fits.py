@@ -46,3 +46,10 @@ def test_sampled_attribution_takes_the_operators_sizes(spark, folder, monkeypatc
     monkeypatch.setattr(queries_models, "fitted", lambda t, family: (None, t.stored("training").selectExpr("*", "'train' as split")))
     QUERIES["attribution_sampled"].run(Testbed(spark, folder))
     assert (seen["sample"], seen["background"]) == (attribution.SAMPLE_ROWS, attribution.BACKGROUND_ROWS) == (200, 100)
+
+
+def test_parts_of_a_fit_do_not_grow_with_the_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = 4 * cores * modelling.ROWS_PER_PART
+    assert modelling.evened(spark.range(rows).toDF("id")).rdd.getNumPartitions() <= 2 * cores
+    assert modelling.evened(spark.range(modelling.ROWS_PER_PART + 1).toDF("id")).rdd.getNumPartitions() == 2
