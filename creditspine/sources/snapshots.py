@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,14 @@ from pyspark.sql import types as T
 
 from creditspine import schemas as S
 from creditspine.functions.dates import month_floor
+from creditspine.sources.session import shuffles_freed
+
+#: Plan nodes that can be read again month by month: nothing is joined, grouped or run in Python.
+NARROW = {"Project", "Filter", "Generate", "SubqueryAlias", "LogicalRelation"}
+#: A portion written at once holds at most one in so many of a table's rows, or so many bytes of them if that is more.
+PORTIONS, PORTION_BYTES = 8, 2 << 30
+#: Up to this size of what is read a table is written in one job, without counting its months.
+ONE_JOB_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -42,16 +51,68 @@ def write_snapshot(df: DataFrame, path: str, partitions: Sequence[str] = (S.SNAP
     Rows are rebalanced by partition value before the write: small months
     become one file and a month with a large share of the rows is split into
     files of the advisory size, instead of one file per task and month.
+
+    A large table is written some months at a time, so that the disk holds the
+    shuffled rows of one portion beside the table. Each folder is written by
+    one portion, and a failed write is mended by running it again.
     """
-    (
-        df.hint("rebalance", *partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .partitionBy(*partitions)
-        .format(fmt)
-        .save(path)
-    )
+    options = {"partitionOverwriteMode": "dynamic", "header": True}
+    if fmt == "parquet":
+        options["compression"] = "zstd"
+    with shuffles_freed(df.sparkSession):
+        for portion in portions(df, path, partitions[-1]):
+            (
+                portion.hint("rebalance", *partitions)
+                .write.mode("overwrite")
+                .options(**options)
+                .partitionBy(*partitions)
+                .format(fmt)
+                .save(path)
+            )
+
+
+def portions(df: DataFrame, path: str, column: str) -> list[DataFrame]:
+    """The rows cut into ranges of a column, for writing them to a path in turn.
+
+    Only rows that come straight from Parquet files are cut, because each range
+    reads them again (of a table partitioned by the column, only its own folders);
+    others, small tables and those read from the path itself stay whole. A value
+    is never divided, so one with a large share of the rows is a large portion.
+    """
+    if not _read_again(df, path):
+        return [df]
+    c, kind = F.col(column), df.schema[column].dataType
+    # values as text: Python has no dates after the year 9999
+    counts = df.groupBy(column).count().orderBy(column).select(c.cast("string"), "count").collect()
+    limit = max(sum(n for _, n in counts) / PORTIONS, PORTION_BYTES / df._jdf.schema().defaultSize())
+    starts, size = [], 0
+    for value, n in counts:
+        if size and size + n > limit and value is not None:
+            starts.append(F.lit(value).cast(kind))
+            size = 0
+        size += n
+    if not starts:
+        return [df]
+    middle = [df.where((c >= a) & (c < b)) for a, b in zip(starts, starts[1:])]
+    return [df.where(c.isNull() | (c < starts[0])), *middle, df.where(c >= starts[-1])]
+
+
+def _read_again(df: DataFrame, path: str) -> bool:
+    """Whether reading the rows several times is cheap, gives the same rows and pays."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if int(str(plan.stats().sizeInBytes())) <= ONE_JOB_BYTES or not plan.deterministic():
+        return False
+    nodes = [plan]
+    for node in nodes:
+        if node.nodeName() not in NARROW or not node.subqueries().isEmpty():
+            return False
+        nodes.extend(node.children().apply(i) for i in range(node.children().size()))
+        if node.nodeName() == "LogicalRelation" and node.relation().toString() != "parquet":
+            return False
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri().getPath().rstrip("/")
+    return not any(unquote(urlparse(f).path).startswith(f"{target}/") for f in df.inputFiles())
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
